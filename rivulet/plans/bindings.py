@@ -44,7 +44,7 @@ def bills_raw(spark, sf) -> DataFrame:
         k.alias("bill_id"), F.col("o_custkey").alias("conn_id"), F.date_format("o_orderdate", "yyyy-MM").alias("period"),
         issued.alias("issued"), due.alias("due"), status.isin("F", "P").alias("paid"), paid_on.alias("paid_on"),
         F.when(status == "F", F.lit(False)).when(status == "P", F.lit(True)).alias("late"),
-        F.col("o_totalprice").alias("total"), (F.col("o_totalprice") / 10000).alias("m3"),
+        F.col("o_totalprice").alias("total"), F.round(F.col("o_totalprice") / 10000, 3).alias("m3"),
         F.col("o_orderpriority").alias("priority"),
     )
 
@@ -56,7 +56,7 @@ BILLS_RAW = """bills_raw AS (
               WHEN o_orderstatus = 'P' AND o_orderkey % 17 <> 0 THEN CAST(o_orderdate AS DATE) + 31 + CAST(o_orderkey % 40 AS INTEGER)
          END AS paid_on,
          CASE o_orderstatus WHEN 'F' THEN false WHEN 'P' THEN true END AS late,
-         o_totalprice AS total, o_totalprice / 10000 AS m3, o_orderpriority AS priority
+         o_totalprice AS total, round(o_totalprice / 10000, 3) AS m3, o_orderpriority AS priority
   FROM orders)"""
 
 BILLS = f"""{BILLS_RAW},

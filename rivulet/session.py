@@ -22,6 +22,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "12g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
