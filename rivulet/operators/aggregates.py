@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.operators.ranks import exact_quantiles, pick_quantiles, value_counts
-from rivulet.session import broadcast_if_small
+from rivulet.session import broadcast_if_small, materialize
 
 
 def one(df: DataFrame, column: str) -> Column:
@@ -141,6 +141,7 @@ def per_customer_profile(df: DataFrame, key: str = "conn_id") -> DataFrame:
 
 def fill_with_median(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace nulls by the column's exact median; one pass ranks all columns."""
+    df = materialize(df)
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_x")) for c in columns])))
     medians = pick_quantiles(value_counts(long, "_x", ["_column"]), "_x", {"median": 0.5}, ["_column"])

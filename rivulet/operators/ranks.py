@@ -4,7 +4,8 @@ A column is first reduced to its distinct values per group. These are spread ove
 range buckets whose edges come from an approximate sketch; the totals of the buckets
 (a few hundred numbers per group) give each bucket its offset, and a window inside one
 bucket finishes the exact running total. The sketch only balances the buckets: any
-edges give the same result. Edges are materialised, so a recomputed task sees the same.
+edges give the same result. Distinct values and edges are materialised, so the source
+is read once and a recomputed task sees the same numbers.
 """
 
 from __future__ import annotations
@@ -17,22 +18,18 @@ from pyspark.sql import functions as F
 from rivulet.session import materialize, shuffle_buckets
 
 
-def _same(left: DataFrame, right: DataFrame, groups: list[str]) -> Column:
-    return reduce(lambda a, c: a & c, [left[g].eqNullSafe(right[g]) for g in groups])
-
-
-def _with_bucket(df: DataFrame, value: str, groups: list[str], source: DataFrame) -> DataFrame:
+def _with_bucket(counts: DataFrame, value: str, groups: list[str]) -> DataFrame:
     """Add ``_bucket``: how many of the group's edges lie below the value."""
-    n = shuffle_buckets(df.sparkSession)
+    n = shuffle_buckets(counts.sparkSession)
     sketch = F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n).alias("_edges")
     if not groups:
-        edges = source.agg(sketch).first()["_edges"] or []
-        return df.withColumn("_bucket", F.size(F.filter(F.lit(sorted(set(edges))), lambda e: e < F.col(value))) if edges else F.lit(0))
-    edges = materialize(source.groupBy(*groups).agg(sketch))
+        edges = sorted(set(counts.agg(sketch).first()["_edges"] or []))
+        return counts.withColumn("_bucket", F.size(F.filter(F.lit(edges), lambda e: e < F.col(value))) if edges else F.lit(0))
+    edges = materialize(counts.groupBy(*groups).agg(sketch))
     edges = edges.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_edges")
     same = reduce(lambda a, c: a & c, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups])
     return (
-        df.join(edges, same)
+        counts.join(edges, same)
         .withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(value))))
         .drop("_edges", *[f"_g_{g}" for g in groups])
     )
@@ -47,8 +44,8 @@ def running_totals(
     """
     groups = list(groups)
     present = df.where(F.col(value).isNotNull())
-    counts = present.groupBy(*groups, value).agg(*[c.alias(n) for n, c in sums.items()])
-    counts = _with_bucket(counts, value, groups, present)
+    counts = materialize(present.groupBy(*groups, value).agg(*[c.alias(n) for n, c in sums.items()]))
+    counts = _with_bucket(counts, value, groups)
     per_bucket = counts.groupBy(*groups, "_bucket").agg(*[F.sum(n).alias(f"_{n}") for n in sums])
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,6 +1,6 @@
 """All registered queries; importing this package fills the registry."""
 
-from rivulet.plans import cleaning, summaries  # noqa: F401
+from rivulet.plans import cleaning, scalars, summaries  # noqa: F401
 from rivulet.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -159,9 +159,9 @@ PROFILE_COLUMNS = ["mean_m3", "cv_m3", "seasonality", "late_rate", "direct_debit
 
 
 @query("per_customer_profile", with_ctes(PROFILE) + "SELECT conn_id, tariff, " + ", ".join(
-    f"round({c}, 6) AS {c}" for c in PROFILE_COLUMNS) + " FROM profile")
+    f"round({c}, 7) AS {c}" for c in PROFILE_COLUMNS) + " FROM profile")
 def per_customer_profile(spark, sf):
-    return ag.per_customer_profile(analysis_table(spark, sf)).select("conn_id", "tariff", *[r6(c).alias(c) for c in PROFILE_COLUMNS])
+    return ag.per_customer_profile(analysis_table(spark, sf)).select("conn_id", "tariff", *[r6(c, 7).alias(c) for c in PROFILE_COLUMNS])
 
 
 def customer_means(spark, sf):
@@ -197,7 +197,7 @@ def category_rows_vs_unique_texts(spark, sf):
     return ag.category_texts(b.table(spark, sf, "documents"), "lang", "text")
 
 
-@query("arg_extreme", with_ctes(BILLS_RAW) + """, m AS (SELECT period, round(avg(m3), 6) AS v FROM bills_raw GROUP BY 1)
+@query("arg_extreme", with_ctes(BILLS_RAW) + """, m AS (SELECT period, round(avg(m3), 7) AS v FROM bills_raw GROUP BY 1)
   SELECT (SELECT period FROM m ORDER BY v DESC, period LIMIT 1) AS highest, max(v) AS highest_value,
          (SELECT period FROM m ORDER BY v, period LIMIT 1) AS lowest, min(v) AS lowest_value FROM m""")
 def arg_extreme(spark, sf):
