@@ -41,6 +41,13 @@ def join_one_to_one(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     )
 
 
+def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], spread: Column, salts: int = 16, how: str = "inner") -> DataFrame:
+    """Equi join whose hot keys are split ``salts`` ways by the hash of ``spread``; the lookup is repeated per salt."""
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
 def lookup_broadcast(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     """Left lookup join; broadcast only when the lookup is counted to be small."""
     return df.join(broadcast_if_small(lookup), on, "left")

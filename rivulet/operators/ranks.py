@@ -93,7 +93,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], groups=(
     return pick_quantiles(value_counts(df, value, groups), value, probs, groups)
 
 
-def average_ranks(df: DataFrame, value: str, groups=(), out: str = "rank") -> DataFrame:
+def average_ranks(df: DataFrame, value: str, groups=(), weight: str | None = None, out: str = "rank") -> DataFrame:
     """Distinct values with their count ``n`` and rank, ties averaged."""
-    ranked = value_counts(df, value, groups)
+    ranked = value_counts(df, value, groups, weight)
     return ranked.select(*groups, value, "n", "n_all", (F.col("n_before") + (F.col("n") + 1) / 2).alias(out))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.pvalues import chi2_sf, t_sf2
 from rivulet.operators.ranks import average_ranks
-from rivulet.session import broadcast_if_small
+from rivulet.session import materialize
 
 Z95 = 1.959964  # fixed value: the normal quantile of the published intervals
 ALPHA = 0.05
@@ -21,15 +21,12 @@ def decision(p: Column, alpha: float = ALPHA) -> Column:
 
 def kruskal_wallis(df: DataFrame, group: str, value: str, least: int = 5) -> DataFrame:
     """H with tie correction over groups of at least ``least`` rows; one row."""
-    present = df.where(F.col(value).isNotNull())
-    pairs = present.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
-    big = present.groupBy(group).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") >= least).select(group)
-    kept = present.join(broadcast_if_small(big), group, "left_semi")
-    ranks = average_ranks(kept, value, out="_rank")
-    rank_sums = (
-        pairs.join(broadcast_if_small(big), group, "left_semi").join(ranks.select(value, "_rank"), value)
-        .groupBy(group).agg(F.sum(F.col("_c") * F.col("_rank")).alias("r"), F.sum("_c").alias("n"))
-    )
+    pairs = materialize(df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c")))
+    big = pairs.groupBy(group).agg(F.sum("_c").alias("_size")).where(F.col("_size") >= least).select(group)
+    kept = pairs.join(big, group, "left_semi")
+    ranks = average_ranks(kept, value, weight="_c", out="_rank")
+    rank_sums = kept.join(ranks.select(value, "_rank"), value).groupBy(group).agg(
+        F.sum(F.col("_c") * F.col("_rank")).alias("r"), F.sum("_c").alias("n"))
     ties = ranks.agg(F.sum(F.pow(F.col("n"), 3.0) - F.col("n")).alias("ties")).select("ties").scalar()
     n, k = F.col("n").cast("double"), F.col("groups")
     raw = 12 / (n * (n + 1)) * F.col("spread") - 3 * (n + 1)
