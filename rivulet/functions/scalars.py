@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rivulet.functions.text import bind
+
 # Formats of tool arguments.
 ID_FORMAT = r"^[A-Za-z0-9]{6,24}$"
 PERIOD_FORMAT = r"^\d{4}-(0[1-9]|1[0-2])$"
@@ -20,7 +22,7 @@ def l2_normalize(v: Column) -> Column:
     """Unit vector; a zero vector is an error."""
     norm = F.sqrt(dot(v, v))
     checked = F.when(norm > 0, norm).otherwise(F.raise_error(F.lit("zero vector")).cast("double"))
-    return F.transform(v, lambda x: x.cast("double") / checked)
+    return bind(checked, lambda n: F.transform(v, lambda x: x.cast("double") / n))
 
 
 def cosine_similarity(a: Column, b: Column) -> Column:

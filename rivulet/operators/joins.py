@@ -41,11 +41,24 @@ def join_one_to_one(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     )
 
 
-def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], spread: Column, salts: int = 16, how: str = "inner") -> DataFrame:
-    """Equi join whose hot keys are split ``salts`` ways by the hash of ``spread``; the lookup is repeated per salt."""
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+def hot_keys(counts: DataFrame, key: str, n: str, share: float = 1e-4) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows: by their definition at most 1 / share of them."""
+    total = counts.agg(F.sum(n).alias("t")).select("t").scalar()
+    return counts.where(F.col(n) >= F.greatest(total * F.lit(share), F.lit(1000))).select(key)
+
+
+def salted_join(big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, spread: Column, salts: int = 64) -> DataFrame:
+    """Inner join on ``key`` in which the rows of hot keys are split ``salts`` ways by a hash of ``spread``.
+
+    Only the lookup rows of hot keys are repeated; every other key joins as usual.
+    ``hot`` comes from ``hot_keys``, whose bound makes its broadcast safe.
+    """
+    marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    chosen = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    left = big.join(marks, key, "left").withColumn("_salt", chosen).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = lookup.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [key, "_salt"]).drop("_salt")
 
 
 def lookup_broadcast(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import ngrams, tokenize
-from rivulet.operators.joins import salted_join
+from rivulet.functions.text import bind, ngrams, tokenize
+from rivulet.operators.joins import hot_keys, salted_join
 from rivulet.operators.ranks import value_counts
 from rivulet.operators.windows import top_n
+from rivulet.session import materialize
 
 HASH_BITS = 52
 
@@ -19,9 +20,8 @@ def text_hash(text: Column, seed: int = 42) -> Column:
 
 
 def term_counts(df: DataFrame, key: str, text: str, n: int = 2) -> DataFrame:
-    """(key, term, tf): n-grams of each text counted inside the row, so nothing shuffles here."""
-    grams = df.select(key, F.array_sort(ngrams(tokenize(F.col(text)), n)).alias("_g"))
-    terms = grams.select(key, F.explode("_g").alias("term"))
+    """(key, term, tf) for the n-grams of sizes 1..n of each text."""
+    terms = df.select(key, F.explode(ngrams(tokenize(F.col(text)), n)).alias("term"))
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -33,24 +33,30 @@ def document_frequencies(counts: DataFrame, n_texts: Column) -> DataFrame:
 
 def weigh(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """(key, terms, weights): sublinear tf times idf, L2 norm 1, terms in order. One row per text."""
-    rows = salted_join(counts, idf.select("term", "idf"), ["term"], F.col(key))
+    rows = salted_join(counts, idf.select("term", "idf"), "term", hot_keys(idf, "term", "df"), F.col(key))
     rows = rows.withColumn("_w", (1 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
     packed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", "_w"))).alias("_v"))
     norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, v: s + v["_w"] * v["_w"]))
-    return packed.withColumn("_n", norm).select(
-        key, F.transform("_v", lambda v: v["term"]).alias("terms"), F.transform("_v", lambda v: v["_w"] / F.col("_n")).alias("weights"))
+    return packed.select(key, F.transform("_v", lambda v: v["term"]).alias("terms"),
+                         bind(norm, lambda n: F.transform("_v", lambda v: v["_w"] / n)).alias("weights"))
 
 
 def tfidf(df: DataFrame, key: str, text: str, n: int = 2) -> DataFrame:
     """TF-IDF vectors of the texts of ``df``; a text without tokens has no row."""
-    counts = term_counts(df, key, text, n)
-    return weigh(counts, document_frequencies(counts, df.agg(F.count(F.lit(1)).alias("n")).scalar()), key)
+    counts, idf = counted(df, key, text, n)
+    return weigh(counts, idf, key)
+
+
+def counted(df: DataFrame, key: str, text: str, n: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Term counts and idf table of the texts, each written once because several steps read them."""
+    counts = materialize(term_counts(df, key, text, n))
+    return counts, materialize(document_frequencies(counts, df.agg(F.count(F.lit(1)).alias("n")).scalar()))
 
 
 # ---------------------------------------------------------------- splits
 def class_ranks(df: DataFrame, category: str, order: Column) -> DataFrame:
     """Add ``rank`` (from 0) of each row in its class by a hash order, and the class size ``size``."""
-    rows = df.withColumn("_h", order)
+    rows = materialize(df.withColumn("_h", order))
     ranks = value_counts(rows, "_h", [category]).select(
         category, "_h", F.col("n_before").alias("rank"), F.col("n_all").alias("size"))
     return rows.join(ranks, [category, "_h"]).drop("_h")
@@ -108,7 +114,7 @@ def centroid_model(vectors: DataFrame, labels: DataFrame, key: str, category: st
 
 def score_with_model(df: DataFrame, key: str, text: str, idf: DataFrame, weights: DataFrame, intercepts: DataFrame,
                      category: str = "category", n: int = 2) -> DataFrame:
-    """Class, probability and whether any term is known, from (term, idf), (class, term, weight), (class, intercept).
+    """Class, probability and whether any term is known, from (term, df, idf), (class, term, weight), (class, intercept).
 
     A text without a known term is answered by the intercepts alone.
     """
@@ -116,7 +122,8 @@ def score_with_model(df: DataFrame, key: str, text: str, idf: DataFrame, weights
     classes = list(first)
     wide = weights.groupBy("term").pivot(category, classes).agg(F.sum("weight")).na.fill(0.0)
     wide = wide.select("term", F.array(*[F.col(f"`{c}`") for c in classes]).alias("_w"))
-    terms = salted_join(term_counts(df, key, text, n), idf.select("term", "idf").join(wide, "term", "left"), ["term"], F.col(key))
+    lookup = idf.select("term", "idf").join(wide, "term", "left")
+    terms = salted_join(term_counts(df, key, text, n), lookup, "term", hot_keys(idf, "term", "df"), F.col(key))
     v = (1 + F.log(F.col("tf").cast("double"))) * F.col("idf")
     sums = terms.groupBy(key).agg(
         F.sqrt(F.sum(v * v)).alias("_norm"), *[F.sum(v * F.coalesce(F.col("_w")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(len(classes))])

@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents spread over the cores: text work is heavy and a small file is one task.
+
+    A table of more scan tasks than cores is left as it lies.
+    """
+    df = table(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "doc_id")
+
+
 def connections(spark, sf) -> DataFrame:
     k = F.col("c_custkey")
     return table(spark, sf, "customer").select(

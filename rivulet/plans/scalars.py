@@ -25,7 +25,7 @@ tokens AS (SELECT *, {SQL_TOKENS.format('norm')} AS toks FROM normed)"""
 
 
 def docs(spark, sf):
-    return b.table(spark, sf, "documents")
+    return b.documents(spark, sf)
 
 
 @query("strip_accents", f"SELECT doc_id, md5({SQL_STRIP.format('text')}) AS plain_md5 FROM documents")

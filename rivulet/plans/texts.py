@@ -19,6 +19,7 @@ from rivulet.plans.evaluation import JUDGED, judged
 from rivulet.plans.registry import query, with_ctes
 from rivulet.plans.scalars import SQL_NORM, SQL_TOKENS, TOKENS, docs
 from rivulet.plans.summaries import r6
+from rivulet.session import materialize
 
 
 def unique(spark, sf):
@@ -114,11 +115,9 @@ icpt AS (SELECT lang, ln(n / (SELECT count(*) FROM train)) AS b FROM cls)"""
 
 
 def _train_vectors(spark, sf, n=1):
-    parts = split(spark, sf)
+    parts = materialize(split(spark, sf))
     train, test = parts.where(~F.col("is_test")), parts.where("is_test")
-    counts = tm.term_counts(train, "doc_id", "text", n)
-    idf = tm.document_frequencies(counts, train.agg(F.count(F.lit(1)).alias("n")).scalar())
-    return train, test, counts, idf
+    return train, test, *tm.counted(train, "doc_id", "text", n)
 
 
 def _model(spark, sf):
@@ -166,16 +165,16 @@ SIMILAR = f"""{TRAIN},
 dots AS (SELECT q.doc_id AS query_id, t.doc_id AS base_id, sum(q.w * t.w) AS s FROM test_v q JOIN tfidf t USING (term) GROUP BY 1, 2),
 pairs AS (SELECT q.doc_id AS query_id, t.doc_id AS base_id, round(coalesce(s, 0), 9) AS similarity FROM (SELECT doc_id FROM toks WHERE is_test) q
   CROSS JOIN (SELECT doc_id FROM train) t LEFT JOIN dots ON dots.query_id = q.doc_id AND dots.base_id = t.doc_id),
-similar AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, base_id) AS INTEGER) AS place FROM pairs QUALIFY place <= 5)"""
+nearby AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, base_id) AS INTEGER) AS place FROM pairs QUALIFY place <= 5)"""
 
 
-@query("similar_texts", with_ctes(SIMILAR) + "SELECT * FROM similar")
+@query("similar_texts", with_ctes(SIMILAR) + "SELECT * FROM nearby")
 def similar_texts(spark, sf):
     return text_neighbours(spark, sf)[0]
 
 
 @query("precision_at_5", with_ctes(SIMILAR) + """
-  SELECT count(DISTINCT query_id) AS queries, round(avg(CAST(q.lang = t.lang AS INTEGER)), 6) AS "precision" FROM similar
+  SELECT count(DISTINCT query_id) AS queries, round(avg(CAST(q.lang = t.lang AS INTEGER)), 6) AS "precision" FROM nearby
   JOIN toks q ON q.doc_id = query_id JOIN toks t ON t.doc_id = base_id""")
 def precision_at_5(spark, sf):
     found, train, test = text_neighbours(spark, sf)
