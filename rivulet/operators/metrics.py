@@ -19,22 +19,22 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
 
 
-def cumulative_by_score(df: DataFrame, y: str, p: str) -> DataFrame:
+def cumulative_by_score(df: DataFrame, y: str, p: str, groups=()) -> DataFrame:
     """Per distinct score: positives and rows at it, and true/false positives at or above it."""
-    runs = running_totals(df, p, {"pos": F.sum(F.col(y).cast("bigint")), "n": F.count(F.lit(1))})
+    runs = running_totals(df, p, {"pos": F.sum(F.col(y).cast("bigint")), "n": F.count(F.lit(1))}, groups)
     tp = F.col("pos_all") - F.col("pos_before")
     fp = F.col("n_all") - F.col("n_before") - tp
-    return runs.select(p, "pos", "n", tp.alias("tp"), fp.alias("fp"), "pos_all", "n_all",
+    return runs.select(*groups, p, "pos", "n", tp.alias("tp"), fp.alias("fp"), "pos_all", "n_all",
                        (F.col("n_before") - F.col("pos_before")).alias("neg_below"))
 
 
-def ranking_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Average precision (step sum over distinct scores) and ROC-AUC; one row."""
-    c = cumulative_by_score(df, y, p)
+def ranking_metrics(df: DataFrame, y: str, p: str, groups=()) -> DataFrame:
+    """Average precision (step sum over distinct scores) and ROC-AUC; one row, or one per group."""
+    c = cumulative_by_score(df, y, p, groups)
     neg = F.col("n") - F.col("pos")
     ap = F.sum(F.col("pos") / F.col("pos_all") * F.col("tp") / (F.col("tp") + F.col("fp")))
     auc = F.sum(F.col("pos") * (F.col("neg_below") + neg / 2)) / F.max(F.col("pos_all").cast("double") * (F.col("n_all") - F.col("pos_all")))
-    return c.agg(ap.alias("average_precision"), auc.alias("roc_auc"))
+    return c.groupBy(*groups).agg(ap.alias("average_precision"), auc.alias("roc_auc"))
 
 
 def at_threshold(y: str, p: str, threshold) -> dict[str, Column]:

@@ -31,11 +31,12 @@ def document_frequencies(counts: DataFrame, n_texts: Column) -> DataFrame:
     return freq.withColumn("idf", F.log((1 + n_texts) / (1 + F.col("df"))) + 1)
 
 
-def weigh(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """(key, terms, weights): sublinear tf times idf, L2 norm 1, terms in order. One row per text."""
-    rows = salted_join(counts, idf.select("term", "idf"), "term", hot_keys(idf, "term", "df"), F.col(key))
+def weigh(counts: DataFrame, idf: DataFrame, key: str, item: str = "term") -> DataFrame:
+    """(key, terms, weights): sublinear tf times idf, L2 norm 1, in order of ``item``. One row per text."""
+    lookup = idf.select("term", "idf", F.col(item).alias("_item"))
+    rows = salted_join(counts, lookup, "term", hot_keys(idf, "term", "df"), F.col(key))
     rows = rows.withColumn("_w", (1 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
-    packed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", "_w"))).alias("_v"))
+    packed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("_item").alias("term"), "_w"))).alias("_v"))
     norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, v: s + v["_w"] * v["_w"]))
     return packed.select(key, F.transform("_v", lambda v: v["term"]).alias("terms"),
                          bind(norm, lambda n: F.transform("_v", lambda v: v["_w"] / n)).alias("weights"))

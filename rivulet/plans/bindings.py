@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.session import spread
+
 CUTOFF = "2001-01-01"
 DOMESTIC = ("ECONOMY", "SMALL", "MEDIUM")
 SWITCH = "1998-07"
@@ -20,9 +22,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
     A table of more scan tasks than cores is left as it lies.
     """
-    df = table(spark, sf, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "doc_id")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def connections(spark, sf) -> DataFrame:

@@ -47,6 +47,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a table of fewer partitions than cores one partition per core, before work that reads it many times.
+
+    ``df`` should be a scan or a materialised table; a wider one stays as it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when ``df`` is counted to at most ``max_rows`` rows.
 
