@@ -95,11 +95,15 @@ class Preprocessor:
         return df.withColumn("features", array_to_vector(F.array(*parts)))
 
 
-COLUMNS = {"probabilityCol": "_probability", "rawPredictionCol": "_raw", "predictionCol": "_prediction"}
 Scorer = Callable[[DataFrame, str], DataFrame]
 Fit = Callable[[DataFrame], Scorer]
 
 
+def _named(estimator):
+    """Output columns that cannot meet a column of the data."""
+    return estimator.setProbabilityCol("_probability").setRawPredictionCol("_raw").setPredictionCol("_prediction")
+
+
 def balanced(train: DataFrame) -> tuple[DataFrame, float]:
     """Add ``weight`` = n / (2 rows of the class), and the sum of the weights."""
     n = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -112,7 +116,7 @@ def _fit(estimator_of: Callable[[float], object], scale: bool) -> Fit:
     def fit(train: DataFrame) -> Scorer:
         prep = Preprocessor.fit(train, scale)
         rows, total = balanced(train)
-        model = estimator_of(total).fit(prep.transform(rows).select("features", F.col("y").cast("double").alias("label"), "weight"))
+        model = _named(estimator_of(total)).fit(prep.transform(rows).select("features", F.col("y").cast("double").alias("label"), "weight"))
 
         def score(df: DataFrame, out: str) -> DataFrame:
             scored = model.transform(prep.transform(df))
@@ -126,17 +130,17 @@ def _fit(estimator_of: Callable[[float], object], scale: bool) -> Fit:
 def logistic(c: float = 0.5, max_iter: int = 200) -> Fit:
     """Balanced logistic regression; the penalty 1 / (C sum of weights) matches an unscaled L2 term."""
     return _fit(lambda total: LogisticRegression(
-        weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=1e-5, **COLUMNS), True)
+        weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=1e-5), True)
 
 
 def random_forest(trees: int = 300, depth: int = 12) -> Fit:
     return _fit(lambda _: RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=20,
-                                                 featureSubsetStrategy="sqrt", seed=SEED, **COLUMNS), False)
+                                                 featureSubsetStrategy="sqrt", seed=SEED), False)
 
 
 def gradient_boosting(rounds: int = 300, depth: int = 4) -> Fit:
     return _fit(lambda _: GBTClassifier(
-        weightCol="weight", maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=SEED, **COLUMNS), False)
+        weightCol="weight", maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=SEED), False)
 
 
 def soft_vote(fits: list[Fit]) -> Fit:
@@ -248,8 +252,8 @@ def train_network(train: DataFrame, valid: DataFrame, rounds: int = 10, per_roun
 
     for i in range(1, rounds + 1):
         net = MultilayerPerceptronClassifier(layers=[prep.size(), *hidden, 2], maxIter=per_round, seed=SEED,
-                                             initialWeights=weights, **COLUMNS)
-        model = net.fit(data)
+                                             initialWeights=weights)
+        model = _named(net).fit(data)
         weights = model.weights
         loss = scorer_of(model)(valid, "p").agg(log_loss(F.col("y"), F.col("p")).alias("l")).first()["l"]
         history.append((i, float(model.summary().objectiveHistory[-1]), loss))

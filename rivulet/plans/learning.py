@@ -180,7 +180,7 @@ def text_parts(spark, sf):
     return parts.where(~F.col("is_test")).drop("is_test"), parts.where("is_test").drop("is_test")
 
 
-GRID = {"folds": 3, "ngrams": (1,), "penalties": (1.0, 3.0), "max_iter": 30}
+GRID = {"folds": 3, "ngrams": (1,), "penalties": (1.0, 3.0), "max_iter": 15}
 
 
 @query("train_text_classifier")
