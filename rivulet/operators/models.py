@@ -201,7 +201,8 @@ def permutation_importance(test: DataFrame, score: Scorer, columns: list[str], k
     variants = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat"),
                                   F.struct(*[(F.col(f"_next{r}")[c] if c == k else F.col(k)).alias(k) for k in columns]).alias("_x"))
                          for c in columns for r in range(repeats)])
-    long = rows.select(key, "y", F.inline(variants)).select(key, "y", "column", "repeat", "_x.*")
+    others = [c for c in test.columns if c not in columns]
+    long = rows.select(*others, F.inline(variants)).select(*others, "column", "repeat", "_x.*")
     base = mt.ranking_metrics(score(test, "p").select("y", "p"), "y", "p").first()["average_precision"]
     each = mt.ranking_metrics(score(long, "p").select("y", "p", "column", "repeat"), "y", "p", ["column", "repeat"])
     drop = F.lit(base) - F.col("average_precision")
