@@ -58,7 +58,8 @@ def salted_join(big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, spr
     left = big.join(marks, key, "left").withColumn("_salt", chosen).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = lookup.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    # the lookup has one row per key and salt, so its hash tables are even and nothing needs sorting
+    return left.join(right.hint("shuffle_hash"), [key, "_salt"]).drop("_salt")
 
 
 def lookup_broadcast(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:

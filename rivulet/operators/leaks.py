@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rivulet.operators.ranks import exact_quantiles
 from rivulet.operators.series import complete_calendar
 from rivulet.operators.windows import sustained_run
+from rivulet.session import materialize
 
 # Detector settings.
 REFERENCE_DAYS = 21
@@ -84,6 +85,7 @@ def series_detection(alarmed: DataFrame, series: str, label: str = "leak", score
 
 def detection_summary(per_series: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
     """Series and hour precision and recall, F1 and median delay."""
+    per_series = materialize(per_series)
     agg = per_series.groupBy(*by).agg(
         F.count_if(F.col("real") & F.col("detected")).alias("tp"), F.count_if(~F.col("real") & F.col("detected")).alias("fp"),
         F.count_if(F.col("real") & ~F.col("detected")).alias("fn"),
@@ -105,11 +107,13 @@ def detection_summary(per_series: DataFrame, by: list[str] | tuple = ()) -> Data
 
 def detect(scored: DataFrame, series: str, factor: float = 1.0, hours: int = SUSTAINED_HOURS) -> DataFrame:
     """Threshold, alarm and per-series detection of a scored hourly table."""
+    scored = materialize(scored)
     return series_detection(sustained_alarm(scored, series, unsupervised_threshold(scored) * factor, hours=hours), series)
 
 
 def threshold_sensitivity(scored: DataFrame, series: str, factors=SENSITIVITY_FACTORS, hours: int = SUSTAINED_HOURS) -> DataFrame:
-    """Detection summary at each multiple of the threshold; the threshold is computed once."""
+    """Detection summary at each multiple of the threshold; scores and threshold are computed once."""
+    scored = materialize(scored)
     limit = unsupervised_threshold(scored)
     every = reduce(DataFrame.unionByName, [
         series_detection(sustained_alarm(scored, series, limit * f, hours=hours), series).withColumn("factor", F.lit(float(f)))

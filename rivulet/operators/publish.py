@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.scalars import six_significant
-from rivulet.session import materialize
 
 # Payload kinds, their required texts, the modules, and the keys a box needs.
 KINDS = ("linea", "barras", "dispersion", "histograma", "caja", "tabla", "texto", "metrica")
@@ -20,12 +18,6 @@ MODULES = ("pipeline", "eda", "estadistica", "series", "fourier", "wavelets", "m
 BOX_KEYS = ("min", "q1", "mediana", "q3", "max")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder next to the checkpoints, which every executor can reach."""
-    materialize(spark.range(1))  # makes sure the checkpoint folder is set
-    return f"{spark.sparkContext.getCheckpointDir()}/rivulet-{uuid.uuid4().hex}"
-
-
 def clean_numbers(df: DataFrame) -> DataFrame:
     """Every double, also inside arrays, to six significant digits; NaN and infinities to null."""
 

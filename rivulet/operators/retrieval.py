@@ -19,8 +19,12 @@ K_LIMITS = (1, 20)
 HEADER_END = "\n---\n"
 
 
+# The characters that count as white space at the ends of a text.
+WHITE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def read_header_documents(files: DataFrame, text: str = "value") -> DataFrame:
@@ -43,12 +47,12 @@ def read_header_documents(files: DataFrame, text: str = "value") -> DataFrame:
         ~F.col("kind").isin(*DOCUMENT_KINDS), "unknown kind")).drop("_pairs")
 
 
-def _pack(parts: Column, limit: int, gap: int, join, restart) -> Column:
+def _pack(parts: Column, limit: int, gap: int, size, join, restart) -> Column:
     """Join consecutive parts while they and ``gap`` characters fit; ``restart(full, part)`` opens the next one."""
     start = F.struct(F.lit("").alias("now"), F.array().cast("array<string>").alias("done"))
 
     def step(s, part):
-        overflow = (s["now"] != "") & (F.length(s["now"]) + F.length(part) + gap > limit)
+        overflow = (s["now"] != "") & (F.length(s["now"]) + size(part) + gap > limit)
         return F.struct(F.when(overflow, restart(s["now"], part)).otherwise(join(s["now"], part)).alias("now"),
                         F.when(overflow, F.array_append(s["done"], s["now"])).otherwise(s["done"]).alias("done"))
 
@@ -64,8 +68,11 @@ def chunk_text(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLA
     paragraphs = F.filter(F.transform(F.split(text, r"(?U)\n\s*\n"), _strip), lambda p: p != "")
 
     def sentences(p):
-        return _pack(F.split(p, r"(?U)(?<=[.;:])\s+|\n"), size, 1,
-                     lambda now, part: _strip(F.concat(now, F.lit(" "), part)), lambda full, part: _strip(part))
+        # each part once as it lies (its length counts), without its right end, and bare
+        parts = F.transform(F.split(p, r"(?U)(?<=[.;:])\s+|\n"), lambda s: F.struct(
+            F.length(s).alias("n"), F.rtrim(s, F.lit(WHITE)).alias("text"), _strip(s).alias("bare")))
+        return _pack(parts, size, 1, lambda part: part["n"], lambda now, part: F.when(now == "", part["bare"]).when(
+            part["text"] == "", now).otherwise(F.concat(now, F.lit(" "), part["text"])), lambda full, part: part["bare"])
 
     pieces = F.flatten(F.transform(paragraphs, lambda p: F.when(F.length(p) <= size, F.array(p)).otherwise(sentences(p))))
 
@@ -77,7 +84,7 @@ def chunk_text(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLA
     def follow(now, part):
         return F.when(now == "", part).otherwise(F.concat(now, F.lit("\n\n"), part))
 
-    return bind(pieces, lambda p: _pack(p, size, 2, follow, reopen))
+    return bind(pieces, lambda p: _pack(p, size, 2, F.length, follow, reopen))
 
 
 def document_id(source: Column, title: Column) -> Column:

@@ -10,6 +10,7 @@ from rivulet.plans.bindings import BILLS_RAW
 from rivulet.plans.evaluation import AGENT_LOG, agent_log
 from rivulet.plans.registry import query, with_ctes
 from rivulet.plans.summaries import r6
+from rivulet.session import shared_folder
 
 MODULE_LIST = list(pb.MODULES)
 
@@ -142,7 +143,7 @@ def project_for_load(spark, sf):
 def replace_version(spark, sf):
     """All versions are written, then one of them is replaced; the others keep their rows."""
     rows = b.bills_raw(spark, sf).select((F.col("conn_id") % 3).alias("version"), "bill_id", "total", F.lit("old").alias("label"))
-    path = pb.shared_folder(spark)
+    path = shared_folder(spark)
     pb.replace_version(rows, path, "version")
     pb.replace_version(rows.where("version = 1").withColumn("label", F.lit("new")), path, "version")
     back = spark.read.schema(rows.schema).parquet(path)
@@ -155,7 +156,7 @@ def replace_version(spark, sf):
 def write_tables(spark, sf):
     sums = {"customer": "c_acctbal", "part": "p_retailprice"}
     tables = {name: b.table(spark, sf, name) for name in sums}
-    paths = pb.write_tables(tables, pb.shared_folder(spark), "csv")
+    paths = pb.write_tables(tables, shared_folder(spark), "csv")
     parts = [spark.read.schema(tables[n].schema).csv(paths[n], header=True).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(c), 2).alias("total")).select(
         F.lit(n).alias("table_name"), "n", "total") for n, c in sums.items()]
     return pb.check_constraints(parts)
@@ -164,7 +165,7 @@ def write_tables(spark, sf):
 @query("read_results", with_ctes(PAYLOADS) + """
   SELECT 'eda' AS modulo, 'facturado_' || priority AS clave, 'v1' AS version, 'Facturado ' || priority AS titulo FROM (SELECT DISTINCT priority FROM pm)""")
 def read_results(spark, sf):
-    path = pb.shared_folder(spark)
+    path = shared_folder(spark)
     pb.write_results(published(spark, sf), path)
     return pb.read_results(spark, path).select("modulo", "clave", "version", F.get_json_object("payload", "$.titulo").alias("titulo"))
 

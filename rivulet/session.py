@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,22 +30,33 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "12g
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder inside the one the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    local master may fall back to a temporary folder of this machine.
+    Only a local master may fall back to a temporary folder of this machine.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+    folder = sc.getCheckpointDir()
+    if folder is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="rivulet-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        folder = sc.getCheckpointDir()
+    return f"{folder}/rivulet-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    This cuts the lineage, survives the loss of executors, and tells the optimizer the real
+    size, so that a small result is broadcast and a large one is not.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
