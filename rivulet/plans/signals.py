@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rivulet.functions import wavelet as wv
 from rivulet.operators import leaks as lk
 from rivulet.operators import series as se
 from rivulet.operators import spectral as sp
@@ -262,9 +263,33 @@ def reconstruct_top_k(spark, sf):
 
 
 # ---------------------------------------------------------------- wavelets
-@query("dwt_energy")
+def _dwt_sql() -> str:
+    """Five levels of the periodised db4 transform: a value reaches output (i - 4 + m) / 2 through tap m."""
+    taps = ", ".join(f"({m}, {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for m, (lo, hi) in enumerate(zip(map(float, wv.DB4_LOW), map(float, wv.DB4_HIGH))))
+    out = [HOURLY, f"taps(m, lo, hi) AS (VALUES {taps})", "a0 AS (SELECT series, hour_index AS i, volume AS v FROM hourly)"]
+    for level in range(1, wv.LEVELS + 1):
+        x = f"a{level - 1}"
+        out += [
+            f"n{level} AS (SELECT max(i) + 1 + (max(i) + 1) % 2 AS n FROM {x})",
+            f"p{level} AS (SELECT * FROM {x} UNION ALL SELECT series, i + 1, v FROM {x} WHERE i = (SELECT n - 2 FROM n{level}) AND (SELECT max(i) + 2 FROM {x}) = (SELECT n FROM n{level}))",
+            f"""f{level} AS (SELECT series, ((i - 4 + m) % n + n) % n // 2 AS i, sum(lo * v) AS v, sum(hi * v) AS d FROM p{level}, taps, n{level}
+  WHERE ((i - 4 + m) % n + n) % n % 2 = 0 GROUP BY 1, 2)""",
+            f"a{level} AS (SELECT series, i, v FROM f{level})"]
+    energies = [f"SELECT series, 'D{k}' AS part, sum(d * d) AS e FROM f{k} GROUP BY 1" for k in range(1, wv.LEVELS + 1)]
+    energies.append(f"SELECT series, 'A{wv.LEVELS}', sum(v * v) FROM a{wv.LEVELS} GROUP BY 1")
+    out.append(f"en AS ({' UNION ALL '.join(energies)})")
+    parts = [f"A{wv.LEVELS}"] + [f"D{k}" for k in range(wv.LEVELS, 0, -1)]
+    out.append("energy AS (SELECT series, " + ", ".join(f"sum(e) FILTER (part = '{q}') / sum(e) AS {q}" for q in parts) + " FROM en GROUP BY 1)")
+    return with_ctes(*out)
+
+
+PARTS = ["A5", "D5", "D4", "D3", "D2", "D1"]
+
+
+@query("dwt_energy", _dwt_sql() + "SELECT series, " + ", ".join(f"round({q}, 9) AS {q}" for q in PARTS) + " FROM energy")
 def dwt_energy(spark, sf):
-    return sp.dwt_energy(hourly(spark, sf), "series", "hour", "volume")
+    out = sp.dwt_energy(hourly(spark, sf), "series", "hour", "volume")
+    return out.select("series", *[r6(q, 9).alias(q) for q in PARTS])
 
 
 @query("dwt_reconstruct")
@@ -275,21 +300,46 @@ def dwt_reconstruct(spark, sf):
         F.max(F.abs(F.col("volume") - F.col("rebuilt"))).alias("max_error"))
 
 
-@query("energy_by_group")
+@query("energy_by_group", _dwt_sql() + "SELECT l.leak, " + ", ".join(f"round(100 * avg({q}), 6) AS {q}" for q in PARTS) + """ FROM energy
+  JOIN (SELECT series, bool_or(leak) AS leak FROM hourly GROUP BY 1) l USING (series) GROUP BY 1""")
 def energy_by_group(spark, sf):
     rows = hourly(spark, sf)
-    return sp.energy_by_group(sp.dwt_energy(rows, "series", "hour", "volume"), rows, "series")
+    out = sp.energy_by_group(sp.dwt_energy(rows, "series", "hour", "volume"), rows, "series")
+    return out.select("leak", *[r6(q).alias(q) for q in PARTS])
+
+
+def _swt_sql() -> str:
+    """Five levels of the stationary transform on the series filled up to a multiple of 32 hours, and its score."""
+    taps = ", ".join(f"({m}, {lo!r}::DOUBLE, {hi!r}::DOUBLE)" for m, (lo, hi) in enumerate(zip(map(float, wv.DB4_LOW), map(float, wv.DB4_HIGH))))
+    out = [HOURLY, f"taps(m, lo, hi) AS (VALUES {taps})", "ln AS (SELECT max(hour_index) + 1 AS n0, (max(hour_index) + 32) // 32 * 32 AS n FROM hourly)",
+           """a0 AS (SELECT series, hour_index AS i, volume AS v FROM hourly
+  UNION ALL SELECT series, n0 + j, volume FROM hourly, ln, range(0, 32) t(j) WHERE hour_index = n0 - 1 AND n0 + j < n)"""]
+    for level in range(1, wv.LEVELS + 1):
+        step = 2 ** (level - 1)
+        out += [f"""f{level} AS (SELECT series, ((i - {4 * step} + m * {step}) % n + n) % n AS i, sum(lo * v) / sqrt(2) AS v, sum(hi * v) / sqrt(2) AS d
+  FROM a{level - 1}, taps, ln GROUP BY 1, 2)""", f"a{level} AS (SELECT series, i, v FROM f{level})"]
+    details = " UNION ALL ".join(f"SELECT series, i, d FROM f{k}" for k in range(1, wv.LEVELS + 1))
+    out += [f"dt AS (SELECT series, i, sum(d * d) AS d2 FROM ({details}) GROUP BY 1, 2)",
+            f"""rt AS (SELECT a.series, a.i, CASE WHEN count(*) OVER w = 72 THEN avg(a.v * a.v) OVER w / avg(d2) OVER w END AS r
+  FROM a{wv.LEVELS} a JOIN dt USING (series, i), ln WHERE a.i < n0 WINDOW w AS (PARTITION BY a.series ORDER BY a.i ROWS BETWEEN 71 PRECEDING AND CURRENT ROW))""",
+            "md AS (SELECT series, quantile_cont(r, 0.5) FILTER (i BETWEEN 72 AND 503) AS med FROM rt GROUP BY 1)"]
+    return with_ctes(*out)
+
+
+def swt_scored(spark, sf):
+    return sp.swt_score(hourly(spark, sf), "series", "volume")
 
 
-@query("swt_score")
+@query("swt_score", _swt_sql() + """
+  SELECT h.series, h.hour, round(r / nullif(med, 0), 7) AS score FROM hourly h JOIN rt ON rt.series = h.series AND rt.i = h.hour_index JOIN md ON md.series = h.series""")
 def swt_score(spark, sf):
-    return sp.swt_score(hourly(spark, sf), "series", "volume")
+    return swt_scored(spark, sf).select("series", "hour", r6("score", 7).alias("score"))
 
 
-@query("signal_features")
+@query("signal_features", _dwt_sql() + "SELECT series, " + ", ".join(f"round({q}, 9) AS energia_{q}" for q in PARTS) + " FROM energy")
 def signal_features(spark, sf):
     e = sp.dwt_energy(hourly(spark, sf), "series", "hour", "volume")
-    return e.select("series", *[F.col(c).alias(f"energia_{c}") for c in e.columns if c != "series"])
+    return e.select("series", *[r6(q, 9).alias(f"energia_{q}") for q in PARTS])
 
 
 # ---------------------------------------------------------------- leak detection
@@ -379,7 +429,7 @@ def threshold_sensitivity(spark, sf):
 
 @query("method_comparison")
 def method_comparison(spark, sf):
-    methods = {"wavelet": swt_score(spark, sf), "night flow": night_scored(spark, sf)}
+    methods = {"wavelet": swt_scored(spark, sf), "night flow": night_scored(spark, sf)}
     return lk.method_comparison(methods, "series", ALARM_HOURS)
 
 
