@@ -224,8 +224,9 @@ def export_long_series(spark, sf):
 SPECTRUM = f"""{HOURLY},
 z AS (SELECT series, hour_index AS t, volume - avg(volume) OVER (PARTITION BY series) AS d, count(*) OVER (PARTITION BY series) AS n FROM hourly),
 spectrum AS (
-  SELECT series, CAST(k AS INTEGER) AS k, k / any_value(n) AS freq, pow(sum(d * cos(2 * pi() * ((k * t) % n) / n)), 2) + pow(sum(d * sin(2 * pi() * ((k * t) % n) / n)), 2) AS power
-  FROM z JOIN (SELECT unnest(range(0, (SELECT max(n) FROM z) // 2 + 1)) AS k) ON true GROUP BY series, k),
+  SELECT *, re * re + im * im AS power FROM (
+  SELECT series, CAST(k AS INTEGER) AS k, k / any_value(n) AS freq, any_value(n) AS n, sum(d * cos(2 * pi() * ((k * t) % n) / n)) AS re, -sum(d * sin(2 * pi() * ((k * t) % n) / n)) AS im
+  FROM z JOIN (SELECT unnest(range(0, (SELECT max(n) FROM z) // 2 + 1)) AS k) ON true GROUP BY series, k)),
 shares AS (SELECT *, 100 * power / sum(power) FILTER (k > 0) OVER (PARTITION BY series) AS pct FROM spectrum)"""
 
 
@@ -238,7 +239,19 @@ def power_spectrum(spark, sf):
     return spectrum(spark, sf).where("k > 0").select("series", "k", r6("freq", 9).alias("freq"), r6(F.sqrt("power"), 5).alias("amplitude"))
 
 
-@query("dominant_peaks")
+def _peaks_sql(n: int) -> str:
+    """The strongest bin, then the strongest more than two bins from all before it, and so on."""
+    out = [SPECTRUM]
+    for i in range(1, n + 1):
+        apart = "".join(f" AND abs(s.k - (SELECT k FROM q{j} WHERE q{j}.series = s.series)) > 2" for j in range(1, i))
+        out.append(f"q{i} AS (SELECT series, max_by(k, power) AS k FROM spectrum s WHERE k > 0{apart} GROUP BY 1)")
+    out.append("peaks AS (" + " UNION ALL ".join(f"SELECT series, k, {i} AS peak FROM q{i}" for i in range(1, n + 1)) + ")")
+    return with_ctes(*out)
+
+
+@query("dominant_peaks", _peaks_sql(5) + """
+  SELECT series, peak, round(freq, 5) AS cycles_per_hour, round(24 * freq, 3) AS cycles_per_day, round(1 / freq, 2) AS period_h, round(pct, 2) AS energy_pct
+  FROM peaks JOIN shares USING (series, k)""")
 def dominant_peaks(spark, sf):
     return sp.dominant_frequencies(spectrum(spark, sf), "series")
 
@@ -256,10 +269,17 @@ def spectrum_band(spark, sf):
     return sp.spectrum_band(spectrum(spark, sf), "series").withColumns({"cycles_per_day": r6("cycles_per_day", 9), "energy_pct": r6("energy_pct")})
 
 
-@query("reconstruct_top_k")
+@query("reconstruct_top_k", _peaks_sql(6) + """,
+  wave AS (SELECT h.series, h.hour, any_value(h.volume) AS volume, any_value(m.mean) AS mean, any_value(m.mean) + sum(CASE WHEN 2 * s.k = s.n THEN 1 ELSE 2 END
+      * (re * cos(2 * pi() * ((s.k * h.hour_index) % s.n) / s.n) - im * sin(2 * pi() * ((s.k * h.hour_index) % s.n) / s.n)) / s.n) AS rebuilt
+    FROM hourly h JOIN peaks USING (series) JOIN spectrum s ON s.series = h.series AND s.k = peaks.k
+    JOIN (SELECT series, avg(volume) AS mean FROM hourly GROUP BY 1) m ON m.series = h.series GROUP BY 1, 2)
+  SELECT series, hour, volume, round(rebuilt, 6) AS rebuilt, round(1 - sum(pow(volume - rebuilt, 2)) OVER (PARTITION BY series) / sum(pow(volume - mean, 2)) OVER (PARTITION BY series), 6) AS r2
+  FROM wave""")
 def reconstruct_top_k(spark, sf):
     rows = hourly(spark, sf)
-    return sp.reconstruct(rows, spectrum(spark, sf), "series", "hour", "volume")
+    out = sp.reconstruct(rows, spectrum(spark, sf), "series", "hour", "volume")
+    return out.withColumns({"rebuilt": r6("rebuilt"), "r2": r6("r2")})
 
 
 # ---------------------------------------------------------------- wavelets

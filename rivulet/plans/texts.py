@@ -17,7 +17,7 @@ from rivulet.functions import scalars as sc
 from rivulet.plans import bindings as b
 from rivulet.plans.evaluation import JUDGED, judged
 from rivulet.plans.registry import query, with_ctes
-from rivulet.plans.scalars import SQL_NORM, SQL_TOKENS, TOKENS, docs
+from rivulet.plans.scalars import SQL_MASK, SQL_NORM, SQL_TOKENS, TOKENS, docs
 from rivulet.plans.summaries import r6
 from rivulet.session import materialize
 
@@ -270,7 +270,9 @@ def _triaged(spark, sf):
                            llm_summary="llm_summary", llm_risk="llm_risk")
 
 
-@query("triage_summaries")
+@query("triage_summaries", with_ctes(TRIAGE) + f""", s AS (SELECT doc_id, llm_category, llm_summary, trim(regexp_replace({SQL_MASK.format('trim(text)')}, '\\s+', ' ', 'g')) AS t FROM triaged),
+  f AS (SELECT doc_id, CASE WHEN llm_category IS NOT NULL THEN llm_summary WHEN length(t) <= 200 THEN t ELSE rtrim(substring(t, 1, 199)) || '…' END AS summary FROM s)
+  SELECT doc_id, summary, CAST(length(summary) AS INTEGER) AS n FROM f""")
 def triage_summaries(spark, sf):
     return _triaged(spark, sf).select("doc_id", "summary", F.length("summary").alias("n"))
 
