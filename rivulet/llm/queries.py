@@ -1,6 +1,6 @@
 """The registered queries of the subpackage."""
 
-from rivulet.llm import q_chat, q_secrets  # noqa: F401
+from rivulet.llm import q_chat, q_langid, q_secrets  # noqa: F401
 from rivulet.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
