@@ -31,7 +31,7 @@ TAKEN = 0x110000  # stands for a mark that is part of a text
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CELLS = 200_000  # characters of a matrix
 WINDOW = 8_192  # positions whose matches are held at once
-CACHE_UNITS = 200_000
+CACHE_UNITS = 400_000
 NO_PATH = -1e300
 
 
@@ -86,7 +86,9 @@ class Encoder:
             order = np.argsort(keys, kind="stable")
             keys, ids, codes = keys[order], ids[order], codes[order]
             assert len(np.unique(keys)) == len(keys), "two pieces share a hash"
-            self.lengths[size] = keys, ids, codes, np.array([v.scores[i] for i in ids])
+            some = np.zeros(1 << 16, bool)  # first bits of all keys: most substrings are no piece
+            some[(keys >> np.uint64(48)).astype(np.int64)] = True
+            self.lengths[size] = keys, ids, codes, np.array([v.scores[i] for i in ids]), some
         self.longest = max(self.lengths, default=1)
         self.unknown = min((v.scores[i] for i in chosen), default=0.0) - 10
         normal = [v.pieces[i] for i in chosen]
@@ -96,19 +98,21 @@ class Encoder:
 
     def reset(self) -> None:
         self.slots: dict[str, int] = {}
-        self.found: list[np.ndarray] = []
+        self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)  # ids of all units, and how many each has
 
     def _matches(self, codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Score and id of the piece at every start; no piece: NO_PATH and -1."""
-        keys, ids, table, scores = self.lengths[size]
+        keys, ids, table, scores, some = self.lengths[size]
         windows = np.lib.stride_tricks.sliding_window_view(codes, size, axis=1)
         k, n = windows.shape[:2]
         h = np.zeros((k, n), np.uint64)
         for j in range(size):
             h = h * BASE + windows[:, :, j].astype(np.uint64) + np.uint64(1)
-        spot = np.minimum(np.searchsorted(keys, h.ravel()), len(keys) - 1)
-        hit = np.flatnonzero(keys[spot] == h.ravel())
-        spot = spot[hit]
+        h = h.ravel()
+        hit = np.flatnonzero(some[(h >> np.uint64(48)).astype(np.int64)])
+        spot = np.minimum(np.searchsorted(keys, h[hit]), len(keys) - 1)
+        equal = keys[spot] == h[hit]
+        hit, spot = hit[equal], spot[equal]
         row, col = np.divmod(hit, n)
         same = (windows[row, col] == table[spot]).all(axis=1)
         hit, spot = hit[same], spot[same]
@@ -116,8 +120,8 @@ class Encoder:
         value[hit], which[hit] = scores[spot], ids[spot]
         return value.reshape(k, n), which.reshape(k, n)
 
-    def viterbi(self, codes: np.ndarray) -> list[np.ndarray]:
-        """Ids of every row of a matrix of characters; unknown characters are -1 - code."""
+    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, id) along the best path of every row of a matrix of characters; unknown ones are -1 - code."""
         k, n = codes.shape
         best = np.full((k, n + 1), NO_PATH)
         best[:, 0] = 0
@@ -152,7 +156,7 @@ class Encoder:
             live = live[at[live] > 0]
         who, ids = np.concatenate([t[0] for t in trail][::-1]), np.concatenate([t[1] for t in trail][::-1])
         order = np.argsort(who, kind="stable")
-        return np.split(ids[order], np.cumsum(np.bincount(who, minlength=k))[:-1])
+        return who[order], ids[order]
 
     def _learn(self, units: list[str]) -> None:
         """Encode units that were not met yet, all of one length together."""
@@ -160,6 +164,7 @@ class Encoder:
         for u in units:
             by_size.setdefault(len(u), []).append(u)
         space, taken = ord(" "), ord(MARK)
+        flat, sizes, known = [self.flat], [self.sizes], len(self.sizes)
         for size, group in by_size.items():
             step = max(1, CELLS // size)
             for i in range(0, len(group), step):
@@ -167,21 +172,31 @@ class Encoder:
                 codes = _codes("".join(part)).reshape(len(part), size).copy()
                 codes[codes == taken] = TAKEN
                 codes[codes == space] = taken
-                for unit, ids in zip(part, self.viterbi(codes)):
-                    self.slots[unit] = len(self.found)
-                    self.found.append(self._with_bytes(ids))
-
-    def _with_bytes(self, ids: np.ndarray) -> np.ndarray:
-        if (ids >= 0).all():
-            return ids.astype(np.int32)
-        out: list[int] = []
-        for i in ids.tolist():
-            if i >= 0:
-                out.append(i)
-            else:
-                char = MARK if -1 - i == TAKEN else chr(-1 - i)
-                out += [self.vocabulary.byte_ids[x] for x in char.encode("utf-8", "surrogatepass")]
-        return np.array(out, np.int32)
+                row, ids = self._with_bytes(*self.viterbi(codes))
+                flat.append(ids.astype(np.int32))
+                sizes.append(np.bincount(row, minlength=len(part)))
+                self.slots.update(zip(part, range(known, known + len(part))))
+                known += len(part)
+        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
+
+    def _with_bytes(self, row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unknown characters replaced by the pieces of their UTF-8 bytes."""
+        unknown = np.flatnonzero(ids < 0)
+        if not len(unknown):
+            return row, ids
+        chars, which = np.unique(-1 - ids[unknown], return_inverse=True)
+        raw = [(MARK if c == TAKEN else chr(c)).encode("utf-8", "surrogatepass") for c in chars.tolist()]
+        counts = np.ones(len(ids), np.int64)
+        counts[unknown] = np.array([len(r) for r in raw])[which]
+        table = np.zeros((len(raw), 4), np.int64)
+        for i, r in enumerate(raw):
+            table[i, :len(r)] = [self.vocabulary.byte_ids[b] for b in r]
+        source = np.repeat(np.arange(len(ids)), counts)
+        place = np.arange(len(source)) - np.repeat(np.cumsum(counts) - counts, counts)
+        char = np.zeros(len(ids), np.int64)
+        char[unknown] = which
+        out = ids[source]
+        return row[source], np.where(out < 0, table[char[source], np.minimum(place, 3)], out)
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """list<int> of every text."""
@@ -204,18 +219,16 @@ class Encoder:
         first = first[:-1]
         starts = np.flatnonzero(first)
         units = strings(data, starts, np.append(starts[1:], len(data))).dictionary_encode()
-        if len(self.found) > CACHE_UNITS:
+        if len(self.sizes) > CACHE_UNITS:
             self.reset()
         names = units.dictionary.to_pylist()
         self._learn([u for u in names if u not in self.slots])
-        known = [self.found[self.slots[u]] for u in names]
-        sizes = np.array([len(x) for x in known], np.int64)
-        begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        flat = np.concatenate(known or [np.empty(0, np.int32)])
-        unit = units.indices.to_numpy().astype(np.int64)
-        per = sizes[unit]
+        slot = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))
+        unit = slot[units.indices.to_numpy()] if len(names) else slot
+        per = self.sizes[unit]
+        begin = np.cumsum(self.sizes) - self.sizes
         total = np.concatenate([[0], np.cumsum(per)]).astype(np.int64)
-        ids = flat[np.repeat(begin[unit] - total[:-1], per) + np.arange(total[-1])] if len(unit) else flat[:0]
+        ids = self.flat[np.repeat(begin[unit] - total[:-1], per) + np.arange(total[-1])]
         ends = total[np.searchsorted(starts, offsets)] if len(starts) else np.zeros(len(texts) + 1, np.int64)
         out = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
         return pc.if_else(pa.array(null), pa.scalar(None, out.type), out) if null.any() else out
