@@ -1,6 +1,6 @@
 """The registered queries of the subpackage."""
 
-from rivulet.llm import q_chat, q_jaccard, q_langid, q_leaks, q_pieces, q_secrets, q_toxicity  # noqa: F401
+from rivulet.llm import q_chat, q_jaccard, q_langid, q_leaks, q_pieces, q_secrets, q_toxicity, q_warc  # noqa: F401
 from rivulet.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
