@@ -157,10 +157,26 @@ def scan(documents: DataFrame, model: MarkovModel, *, key: str = "doc_id", text:
     A run of ``min_length`` or more characters is added where its ratio reaches ``log_odds``
     (thousandths of a nat) and no fixed pattern covers any of it.
     """
-    df = documents.select(F.col(key).alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    df = documents.select(F.struct(F.col(key).alias("key")).alias("_rest_of_row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    return _scan(df, model, min_length, log_odds).select(
+        F.col("_rest_of_row.key").alias(key), F.col("_text").alias(text), "base", "spans")
+
+
+def redacted(documents: DataFrame, model: MarkovModel, *, text: str = "text", mark: str = "<SECRET>", min_length: int = 16,
+             log_odds: int = 14_000) -> DataFrame:
+    """``documents`` with every span replaced by ``mark``; all rows and columns stay, a null text stays null."""
+    names = documents.columns
+    df = documents.select(F.struct(*names).alias("_rest_of_row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    safe = redact(_scan(df, model, min_length, log_odds), "_text", "spans", mark)
+    whole = [F.when(F.col(f"_rest_of_row.{c}").isNotNull(), F.col("_text")).alias(c) if c == text else F.col(f"_rest_of_row.{c}").alias(c) for c in names]
+    return safe.select(*whole)
+
+
+def _scan(df: DataFrame, model: MarkovModel, min_length: int, log_odds: int) -> DataFrame:
+    """_rest_of_row, _text, base, spans from _rest_of_row and _text."""
     df = _matches(_matches(_matches(df, "_text", "a", ASSIGN), "_text", "k", ACCESS), "_text", "x", HEX)
     df = df.select(
-        "_key", "_text", _masked("_text", "a", _is_assigned).alias("_rest"),
+        "_rest_of_row", "_text", _masked("_text", "a", _is_assigned).alias("_rest"),
         F.array_sort(F.concat(_spans("a", 0, _is_assigned), _spans("k", 1), _spans("x", 2))).alias("base"))
     weights = model.literal()
 
@@ -171,7 +187,7 @@ def scan(documents: DataFrame, model: MarkovModel, *, key: str = "doc_id", text:
     df = _matches(df, "_rest", "m", f"{RUN}{{{min_length},}}")
     more = _spans("m", 3, unlikely)
     spans = F.when(F.size("m_hits") > 0, F.array_sort(F.concat("base", more))).otherwise(F.col("base"))
-    return df.select(F.col("_key").alias(key), F.col("_text").alias(text), "base", spans.alias("spans"))
+    return df.select("_rest_of_row", "_text", "base", spans.alias("spans"))
 
 
 def describe(spans: str) -> Column:

@@ -98,3 +98,10 @@ def test_query_on_the_table(spark):
         assert r["base_sha256"] == hashlib.sha256(names(want).encode()).hexdigest()
         assert r["n_hex"] == sum(k == 2 for _, k, _ in want)
         assert set(names(want).split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_redacted_keeps_rows_and_columns(spark, model):
+    df = spark.createDataFrame([(1, None, "x"), (2, "a token=abcdefgh1", "y"), (2, "a token=abcdefgh1", "y")], "doc_id long, text string, spans string")
+    got = secrets.redacted(df, model)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(1, None, "x"), (2, "a <SECRET>", "y"), (2, "a <SECRET>", "y")]
