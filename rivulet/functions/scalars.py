@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import bind
+from rivulet.functions.text import bind, strip_white
 
 # Formats of tool arguments.
 ID_FORMAT = r"^[A-Za-z0-9]{6,24}$"
@@ -84,16 +84,16 @@ def night_hour(ts: Column, hours=(2, 3, 4)) -> Column:
 
 
 def valid_id(x: Column) -> Column:
-    return F.coalesce(F.trim(x).rlike(ID_FORMAT), F.lit(False))
+    return F.coalesce(strip_white(x).rlike(ID_FORMAT), F.lit(False))
 
 
 def valid_period(x: Column) -> Column:
     """An absent period is allowed."""
-    return F.coalesce(F.trim(x).rlike(PERIOD_FORMAT), F.lit(True))
+    return F.coalesce(strip_white(x).rlike(PERIOD_FORMAT), F.lit(True))
 
 
 def normal_tariff(x: Column) -> Column:
-    return F.regexp_replace(F.lower(F.trim(x)), " ", "_")
+    return F.regexp_replace(F.lower(strip_white(x)), " ", "_")
 
 
 def argument_problem(ident: Column, period: Column, tariff: Column, m3: Column, known_tariffs) -> Column:

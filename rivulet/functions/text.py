@@ -26,6 +26,15 @@ LONG_NUMBER = (r"(?:\d[\s-]?){8,}", "[número omitido] ")
 LEAKING_VERBS = "sale|salen|brota|brotan|tira|tiran|escurre"
 
 
+# The characters that count as white space at the ends of a text.
+WHITE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
+def strip_white(text: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(WHITE))
+
+
 def _accent_table() -> tuple[str, str]:
     """Letters whose canonical decomposition is one base character plus marks, except ñ."""
     source, target = [], []
@@ -54,7 +63,7 @@ def normalize_text(text: Column) -> Column:
     """Lower case, no accents, only a-z 0-9 ñ, single spaces; null, blank and 'nan' become ''."""
     low = F.lower(text.cast("string"))
     words = F.trim(F.regexp_replace(strip_accents(low), "[^a-z0-9ñ]+", " "))
-    return F.when(F.coalesce(F.trim(low), F.lit("")).isin("", "nan"), F.lit("")).otherwise(words)
+    return F.when(F.coalesce(strip_white(low), F.lit("")).isin("", "nan"), F.lit("")).otherwise(words)
 
 
 def tokenize(text: Column, stop_words=tuple(STOP_WORDS)) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.text import strip_white
+
 #: Columns that only the data generator knows and that never leave cleaning.
 HIDDEN_COLUMNS = ("consumo_base", "propension_mora")
 
@@ -144,7 +146,7 @@ def recent_periods(df: DataFrame, period: str, n: int) -> DataFrame:
 
 
 def drop_short_text(df: DataFrame, text: str, least: int = 10) -> DataFrame:
-    return df.where(F.length(F.trim(F.col(text))) >= least)
+    return df.where(F.length(strip_white(F.col(text))) >= least)
 
 
 def min_examples(df: DataFrame, category: str, least: int = 20) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.functions.text import strip_white
 from rivulet.operators.ranks import value_counts
 from rivulet.operators.windows import top_n
 
@@ -22,8 +23,8 @@ def load_eval_cases(df: DataFrame, *, expected: str, flag: str, validator: str,
     """Split the pipe list, read the yes/no flag, and keep validated rows unless told otherwise."""
     out = df.withColumns({
         expected: F.filter(F.split(F.col(expected), r"\|"), lambda t: t != ""),
-        flag: F.lower(F.trim(F.col(flag))).isin("true", "si"),
-        validator: F.coalesce(F.trim(F.col(validator)), F.lit("")),
+        flag: F.lower(strip_white(F.col(flag))).isin("true", "si"),
+        validator: F.coalesce(strip_white(F.col(validator)), F.lit("")),
     })
     return out if include_unvalidated else out.where(F.col(validator) != "")
 

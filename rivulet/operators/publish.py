@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.scalars import six_significant
+from rivulet.functions.text import strip_white
 
 # Payload kinds, their required texts, the modules, and the keys a box needs.
 KINDS = ("linea", "barras", "dispersion", "histograma", "caja", "tabla", "texto", "metrica")
@@ -130,7 +131,7 @@ def validate_payload(df: DataFrame, payload: str) -> DataFrame:
     df = df.withColumn("_v", v)
     p = F.col("_v")
     kind = F.try_variant_get(p, "$.tipo", "string")
-    texts = [F.when(~_is(_at(p, f"$.{f}"), "STRING") | (F.trim(F.try_variant_get(p, f"$.{f}", "string")) == ""), f"falta «{f}»") for f in REQUIRED]
+    texts = [F.when(~_is(_at(p, f"$.{f}"), "STRING") | (strip_white(F.try_variant_get(p, f"$.{f}", "string")) == ""), f"falta «{f}»") for f in REQUIRED]
     rows, series, xs = _items(p, "$.filas"), _items(p, "$.series"), _items(p, "$.x.valores")
     has_rows = F.coalesce(F.size(rows) > 0, F.lit(False))
     rows_bad = _at(p, "$.filas").isNotNull() & ~F.coalesce(F.forall(rows, lambda r: _is(r, "OBJECT")), F.lit(False))
@@ -156,7 +157,7 @@ def validate_payload(df: DataFrame, payload: str) -> DataFrame:
         return quartiles | F.coalesce(F.exists(values(s), _number), F.lit(False))
 
     box = F.when(no_series, "falta «series»").when(any_series(lambda s: ~_is(s, "OBJECT") | ~boxed(s)), "sin cuartiles ni valores")
-    metric_rows = F.coalesce(F.forall(rows, lambda r: (F.coalesce(F.trim(F.try_variant_get(r, "$.indicador", "string")), F.lit("")) != "")
+    metric_rows = F.coalesce(F.forall(rows, lambda r: (F.coalesce(strip_white(F.try_variant_get(r, "$.indicador", "string")), F.lit("")) != "")
                                       & _at(r, "$.valor").isNotNull()), F.lit(False))
     metric = F.when(has_rows & ~metric_rows, "cada fila necesita «indicador» y «valor»").when(
         ~has_rows & _at(p, "$.valor").isNull(), "la métrica no trae «valor» ni «filas»")

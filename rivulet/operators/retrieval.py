@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import bind, uuid5
+from rivulet.functions.text import WHITE, bind, strip_white, uuid5
 from rivulet.operators.similarity import nearest
 
 # Chunk sizes, id namespace, document kinds, similarity threshold, result limits.
@@ -19,14 +19,6 @@ K_LIMITS = (1, 20)
 HEADER_END = "\n---\n"
 
 
-# The characters that count as white space at the ends of a text.
-WHITE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-
-
-def _strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITE))
-
-
 def read_header_documents(files: DataFrame, text: str = "value") -> DataFrame:
     """Parse 'key: value' headers up to the first '---' line; ``problem`` says why a file is rejected."""
     cut = F.locate(HEADER_END, F.col(text))
@@ -34,14 +26,14 @@ def read_header_documents(files: DataFrame, text: str = "value") -> DataFrame:
     body = F.when(cut > 0, F.substring(F.col(text), cut + len(HEADER_END), F.length(text))).otherwise(F.lit(""))
     lines = F.filter(F.split(header, r"\r?\n"), lambda s: F.contains(s, F.lit(":")))
     pairs = F.transform(lines, lambda s: F.struct(
-        F.trim(F.substring_index(s, ":", 1)).alias("k"), F.trim(F.substring(s, F.locate(":", s) + 1, F.length(s))).alias("v")))
+        strip_white(F.substring_index(s, ":", 1)).alias("k"), strip_white(F.substring(s, F.locate(":", s) + 1, F.length(s))).alias("v")))
 
     def value(key: str) -> Column:
         return F.try_element_at(F.transform(F.filter(F.col("_pairs"), lambda p: p["k"] == key), lambda p: p["v"]), F.lit(-1))
 
     out = files.withColumn("_pairs", pairs).withColumns({
         "title": value("titulo"), "kind": value("tipo"), "source": value("fuente"),
-        "url": F.nullif(value("url"), F.lit("")), "body": _strip(body)})
+        "url": F.nullif(value("url"), F.lit("")), "body": strip_white(body)})
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(k)) for c, k in (("source", "fuente"), ("kind", "tipo"), ("title", "titulo"))]))
     return out.withColumn("problem", F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", "))).when(
         ~F.col("kind").isin(*DOCUMENT_KINDS), "unknown kind")).drop("_pairs")
@@ -65,12 +57,12 @@ def chunk_text(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLA
     Each chunk after the first opens with the tail of the previous one, at most
     ``overlap`` characters and from a word start.
     """
-    paragraphs = F.filter(F.transform(F.split(text, r"(?U)\n\s*\n"), _strip), lambda p: p != "")
+    paragraphs = F.filter(F.transform(F.split(text, r"(?U)\n\s*\n"), strip_white), lambda p: p != "")
 
     def sentences(p):
         # each part once as it lies (its length counts), without its right end, and bare
         parts = F.transform(F.split(p, r"(?U)(?<=[.;:])\s+|\n"), lambda s: F.struct(
-            F.length(s).alias("n"), F.rtrim(s, F.lit(WHITE)).alias("text"), _strip(s).alias("bare")))
+            F.length(s).alias("n"), F.rtrim(s, F.lit(WHITE)).alias("text"), strip_white(s).alias("bare")))
         return _pack(parts, size, 1, lambda part: part["n"], lambda now, part: F.when(now == "", part["bare"]).when(
             part["text"] == "", now).otherwise(F.concat(now, F.lit(" "), part["text"])), lambda full, part: part["bare"])
 

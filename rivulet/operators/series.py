@@ -105,13 +105,15 @@ def holt_winters(
     """Additive trend and season, smoothing weights from a grid by least squared error, ``ahead`` forecasts.
 
     One ordered array per series (one value per period) is folded once per grid point;
-    series times grid points spread over the cluster.
+    series times grid points spread over the cluster. A series shorter than two seasons gets
+    null forecasts, and ``problem`` says so.
     """
     values = df.groupBy(*by).agg(F.transform(
         F.array_sort(F.collect_list(F.struct(F.col(order), F.col(value)))), lambda r: r[value].cast("double")).alias("x"))
     mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.size(a)
     first, second = F.slice("x", 1, period), F.slice("x", period + 1, period)
-    start = values.where(F.size("x") >= 2 * period).withColumn("level0", mean(first)).withColumn(
+    long_enough = F.size("x") >= 2 * period
+    start = values.where(long_enough).withColumn("level0", mean(first)).withColumn(
         "trend0", (mean(second) - F.col("level0")) / period).withColumn(
         "season0", F.transform(first, lambda v: v - F.col("level0")))
     weights = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(bt).alias("beta"), F.lit(g).alias("gamma")) for a, bt, g in grid])
@@ -136,8 +138,13 @@ def holt_winters(
     end = F.col("b")["_end"]
     forecast = F.transform(F.sequence(F.lit(1), F.lit(ahead)), lambda h: end["level"] + h * end["trend"]
                            + F.element_at(end["season"], (h - 1) % period + 1))
-    return best.select(*by, F.col("b")["alpha"].alias("alpha"), F.col("b")["beta"].alias("beta"), F.col("b")["gamma"].alias("gamma"),
-                       end["sse"].alias("sse"), F.posexplode(forecast).alias("step", "forecast")).withColumn("step", F.col("step") + 1)
+    found = best.select(*by, F.col("b")["alpha"].alias("alpha"), F.col("b")["beta"].alias("beta"), F.col("b")["gamma"].alias("gamma"),
+                        end["sse"].alias("sse"), F.posexplode(forecast).alias("step", "forecast"), F.lit(None).cast("string").alias("problem"))
+    none = F.lit(None).cast("double")
+    short = values.where(~long_enough).select(
+        *by, none.alias("alpha"), none.alias("beta"), none.alias("gamma"), none.alias("sse"), F.explode(F.sequence(F.lit(0), F.lit(ahead - 1))).alias("step"),
+        none.alias("forecast"), F.lit("shorter than two seasons").alias("problem"))
+    return found.unionByName(short).withColumn("step", F.col("step") + 1)
 
 
 def autocorrelation(df: DataFrame, by: list[str], order: str, value: str, lags=ACF_LAGS) -> DataFrame:

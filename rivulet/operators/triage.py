@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import contains_phrase, first_phrase, leaking_water, mask_pii, normalize_text, squeeze_spaces, truncate_ellipsis
+from rivulet.functions.text import contains_phrase, first_phrase, leaking_water, mask_pii, normalize_text, squeeze_spaces, strip_white, truncate_ellipsis
 
 # Categories with their base priority, names of priorities, urgent words.
 BASE_PRIORITY = {
@@ -14,8 +14,8 @@ BASE_PRIORITY = {
 }
 UNKNOWN_BASE = 1
 PRIORITY_NAMES = {0: "baja", 1: "normal", 2: "alta", 3: "urgente"}
-URGENT_WORDS = """hospital clinica escuela guarderia enfermo enferma enfermos bebe bebes embarazada
-inunda inundado inundada inundacion socavon hundimiento hundio""".split()
+URGENT_WORDS = ("hospital", "clinica", "escuela", "guarderia", "enfermo", "enferma", "enfermos", "bebe", "bebes", "embarazada",
+                "inunda", "inundado", "inundada", "inundacion", "socavon", "hundimiento", "hundio")
 
 # Phrases of the category rules.
 PUBLIC_WAY = ("banqueta", "calle", "via publica", "avenida", "esquina", "camellon", "pavimento", "asfalto")
@@ -29,6 +29,7 @@ LEAK_CLASSES = ("fuga_calle", "fuga_toma", "baja_presion")
 TEXT_MIN, TEXT_MAX, SUMMARY_MIN, SUMMARY_MAX = 5, 2000, 5, 200
 
 
+# The reasons in correct_category and priority are worded as the published results have them.
 def correct_category(category: Column, normalized: Column) -> Column:
     """struct(category, reason): leak on the public way, or no water without a leak; reason null when unchanged."""
     way = first_phrase(normalized, PUBLIC_WAY)
@@ -64,7 +65,7 @@ def priority(category: Column, normalized: Column, risk: Column) -> Column:
 
 def input_problem(text: Column) -> Column:
     """Why a text is rejected, or null."""
-    n = F.length(F.trim(text))
+    n = F.length(strip_white(text))
     return F.when(text.isNull() | (n < TEXT_MIN), "too short").when(F.length(text) > TEXT_MAX, "too long")
 
 
@@ -89,7 +90,7 @@ def triage_table(rows: DataFrame, *, text: str, category: str, known: str, llm_c
     answered = F.col(llm_category).isNotNull()
     rows = rows.withColumn("_prio", priority(final, F.col("_norm"), answered & F.col(llm_risk)))
     agrees = answered & (F.col(llm_category) == final)
-    fallback = truncate_ellipsis(squeeze_spaces(mask_pii(F.trim(F.col(text)))), SUMMARY_MAX)
+    fallback = truncate_ellipsis(squeeze_spaces(mask_pii(strip_white(F.col(text)))), SUMMARY_MAX)
     return rows.withColumns({
         "final_category": final, "rule": F.col("_fixed")["reason"], "priority": F.col("_prio")["priority"],
         "reasons": F.col("_prio")["reasons"], "agreement": F.when(answered, agrees),

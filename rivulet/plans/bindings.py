@@ -128,15 +128,14 @@ def tariff_table(spark, sf) -> DataFrame:
     base = table(spark, sf, "part").groupBy(F.col("p_type").alias("tariff"), F.col("p_size").alias("m3")).agg(
         F.min("p_retailprice").cast("decimal(12,2)").alias("base"))
     quarters = F.array(*[F.struct(F.lit(q).alias("quarter"), F.lit(f).cast("decimal(3,2)").alias("f")) for q, f in QUARTERS])
-    return base.select("*", F.inline(quarters)).where("m3 <= 45").select(
+    return base.select("*", F.inline(quarters)).select(
         "quarter", "tariff", "m3", F.round(F.col("base") * F.col("f"), 2).cast("decimal(12,2)").alias("amount"))
 
 
 TARIFF = """tariff_table AS (
   SELECT quarter, tariff, m3, CAST(round(base * f, 2) AS DECIMAL(12,2)) AS amount
   FROM (SELECT p_type AS tariff, p_size AS m3, CAST(min(p_retailprice) AS DECIMAL(12,2)) AS base FROM part GROUP BY 1, 2),
-       (VALUES ('2026-T2', CAST(1.00 AS DECIMAL(3,2))), ('2026-T3', CAST(1.05 AS DECIMAL(3,2)))) q(quarter, f)
-  WHERE m3 <= 45)"""
+       (VALUES ('2026-T2', CAST(1.00 AS DECIMAL(3,2))), ('2026-T3', CAST(1.05 AS DECIMAL(3,2)))) q(quarter, f))"""
 
 
 def line_bills(spark, sf) -> DataFrame:

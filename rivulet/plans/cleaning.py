@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.text import WHITE
 from rivulet.operators import cleaning as cl
 from rivulet.operators import joins as jn
 from rivulet.operators import tariff as tf
@@ -256,7 +257,7 @@ def training_filter(spark, sf):
 
 
 @query("drop_short_text", """
-  SELECT doc_id, lang, length(text) AS n_characters FROM documents WHERE length(trim(text)) >= 10""")
+  SELECT doc_id, lang, length(text) AS n_characters FROM documents WHERE length(trim(text, '""" + WHITE + """')) >= 10""")
 def drop_short_text(spark, sf):
     return cl.drop_short_text(b.table(spark, sf, "documents"), "text", 10).select(
         "doc_id", "lang", F.length("text").cast("bigint").alias("n_characters"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rivulet.functions.text import WHITE
 from rivulet.operators import evaluation as ev
 from rivulet.operators import metrics as mt
 from rivulet.operators import windows as wn
@@ -237,8 +238,8 @@ tl AS (SELECT session, string_agg(DISTINCT tool, '|' ORDER BY tool) AS tools, co
 raw_cases AS (SELECT session, CASE WHEN session % 5 = 0 THEN 'system|user' WHEN session % 4 = 0 THEN tools || '||' || tools ELSE tools END AS expected,
   CASE WHEN n > 3 THEN ' TRUE ' ELSE 'false' END AS multistep, CASE WHEN session % 3 <> 0 THEN ' ana ' ELSE ' ' END AS validator,
   CASE WHEN session % 9 = 0 THEN 'Alcancé el límite de 5 pasos' WHEN session % 8 = 0 THEN '' ELSE 'listo' END AS answer FROM tl),
-cases AS (SELECT session, list_filter(string_split(expected, '|'), lambda t: t <> '') AS expected, lower(trim(multistep)) IN ('true', 'si') AS multistep,
-  trim(validator) AS validator, answer FROM raw_cases WHERE trim(validator) <> '')"""
+cases AS (SELECT session, list_filter(string_split(expected, '|'), lambda t: t <> '') AS expected, lower(trim(multistep, '{WHITE}')) IN ('true', 'si') AS multistep,
+  trim(validator, '{WHITE}') AS validator, answer FROM raw_cases WHERE trim(validator, '{WHITE}') <> '')"""
 
 
 def cases(spark, sf):

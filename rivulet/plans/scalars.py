@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import scalars as sc
 from rivulet.functions import text as tx
+from rivulet.functions.text import WHITE
 from rivulet.operators import aggregates as ag
 from rivulet.operators import stats as st
 from rivulet.plans import bindings as b
@@ -16,7 +17,7 @@ from rivulet.plans.summaries import r6
 
 # ñ is protected while DuckDB strips accents; its code points survive as chr(1)
 SQL_STRIP = "replace(strip_accents(replace({0}, 'ñ', chr(1))), chr(1), 'ñ')"
-SQL_NORM = ("CASE WHEN coalesce(trim(lower({0})), '') IN ('', 'nan') THEN '' ELSE trim(regexp_replace("
+SQL_NORM = ("CASE WHEN coalesce(trim(lower({0}), '" + WHITE + "'), '') IN ('', 'nan') THEN '' ELSE trim(regexp_replace("
             + SQL_STRIP.format("lower({0})") + ", '[^a-z0-9ñ]+', ' ', 'g')) END")
 STOPS = "[" + ", ".join(f"'{w}'" for w in tx.STOP_WORDS) + "]"
 SQL_TOKENS = "list_filter(string_split({0}, ' '), lambda w: length(w) > 1 AND NOT list_contains(" + STOPS + ", w))"
@@ -133,7 +134,7 @@ def cosine_similarity(spark, sf):
                     o_totalprice - 100000 AS m3 FROM orders)
   SELECT o_orderkey, CASE WHEN NOT regexp_full_match(ident, '[A-Za-z0-9]{6,24}') THEN 'id'
     WHEN NOT regexp_full_match(period, '\\d{4}-(0[1-9]|1[0-2])') THEN 'period'
-    WHEN replace(lower(trim(tariff)), ' ', '_') NOT IN ('1-urgent', '4-not_specified', '5-low') THEN 'tariff'
+    WHEN replace(lower(trim(tariff, '""" + WHITE + """')), ' ', '_') NOT IN ('1-urgent', '4-not_specified', '5-low') THEN 'tariff'
     WHEN NOT m3 BETWEEN 0 AND 100000 THEN 'm3' END AS problem FROM a""")
 def validate_args(spark, sf):
     k = F.col("o_orderkey")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import normalize_text
+from rivulet.functions.text import WHITE, normalize_text
 from rivulet.operators import aggregates as ag
 from rivulet.operators import evaluation as ev
 from rivulet.operators import metrics as mt
@@ -229,7 +229,7 @@ ph AS (SELECT *, list_filter({list(tr.PUBLIC_WAY)!r}, lambda p: contains(' ' ||
     nullif(regexp_extract(norm, '(?:^| )((?:sale|salen|brota|brotan|tira|tiran|escurre)(?: [a-z0-9ñ]+){{0,3}} agua)(?: |$)', 1), '') AS verb,
     list_filter({list(tr.NO_WATER)!r}, lambda p: contains(' ' || norm || ' ', ' ' || p || ' ')) AS dry,
     list_filter({list(tr.INSIDE)!r}, lambda p: contains(' ' || norm || ' ', ' ' || p || ' ')) AS inside,
-    list_sort(list_intersect(list_distinct(string_split(norm, ' ')), {tr.URGENT_WORDS!r})) AS urgent FROM norm),
+    list_sort(list_intersect(list_distinct(string_split(norm, ' ')), {list(tr.URGENT_WORDS)!r})) AS urgent FROM norm),
 rl AS (SELECT *, coalesce(water[1], verb) AS out,
     CASE WHEN category = 'fuga_toma' AND len(way) > 0 AND coalesce(water[1], verb) IS NOT NULL AND len(inside) = 0 THEN 1
          WHEN category IN {tr.LEAK_CLASSES!r} AND len(dry) > 0 AND coalesce(water[1], verb) IS NULL THEN 2 ELSE 0 END AS rule_no FROM ph),
@@ -270,7 +270,10 @@ def _triaged(spark, sf):
                            llm_summary="llm_summary", llm_risk="llm_risk")
 
 
-@query("triage_summaries", with_ctes(TRIAGE) + f""", s AS (SELECT doc_id, llm_category, llm_summary, trim(regexp_replace({SQL_MASK.format('trim(text)')}, '\\s+', ' ', 'g')) AS t FROM triaged),
+TRIMMED = f"trim(text, '{WHITE}')"
+
+
+@query("triage_summaries", with_ctes(TRIAGE) + f""", s AS (SELECT doc_id, llm_category, llm_summary, trim(regexp_replace({SQL_MASK.format(TRIMMED)}, '\\s+', ' ', 'g')) AS t FROM triaged),
   f AS (SELECT doc_id, CASE WHEN llm_category IS NOT NULL THEN llm_summary WHEN length(t) <= 200 THEN t ELSE rtrim(substring(t, 1, 199)) || '…' END AS summary FROM s)
   SELECT doc_id, summary, CAST(length(summary) AS INTEGER) AS n FROM f""")
 def triage_summaries(spark, sf):
@@ -278,7 +281,7 @@ def triage_summaries(spark, sf):
 
 
 @query("validate_input", with_ctes(TRIAGE) + """
-  SELECT doc_id, CASE WHEN d.text IS NULL OR length(trim(d.text)) < 5 THEN 'too short' WHEN length(d.text) > 2000 THEN 'too long' END AS input_problem,
+  SELECT doc_id, CASE WHEN d.text IS NULL OR length(trim(d.text, '""" + WHITE + """')) < 5 THEN 'too short' WHEN length(d.text) > 2000 THEN 'too long' END AS input_problem,
     CASE WHEN NOT coalesce(length(llm_summary) BETWEEN 5 AND 200, false) THEN 'summary' WHEN NOT coalesce(llm_category IN ('sin_agua', 'fuga_toma'), false) THEN 'category'
          WHEN NOT doc_id % 5 BETWEEN 0 AND 3 THEN 'priority' END AS answer_problem FROM triaged JOIN documents d USING (doc_id)""")
 def validate_input(spark, sf):
