@@ -1,4 +1,4 @@
-"""Spectrum, wavelets, detectors and forecasts on synthetic meters."""
+"""Spectrum, wavelets, detectors and forecasts, on square waves, chirps and hand-made tables."""
 
 import datetime as dt
 
@@ -13,137 +13,159 @@ from rivulet.operators import series as se
 from rivulet.operators import spectral as sp
 from rivulet.operators import windows as wn
 
-START = dt.datetime(2026, 5, 5)
+FIRST = dt.datetime(2023, 11, 1)
+HOURS = 90 * 24
 
 
-def meter(seed, leak_day=None, days=120):
-    t = np.arange(days * 24)
-    x = np.clip(0.03 + 0.02 * np.sin(2 * np.pi * t / 24) + np.random.default_rng(seed).normal(0, 0.002, len(t)), 1e-4, None)
-    leak = np.zeros(len(t), bool)
-    if leak_day:
-        leak[leak_day * 24:] = True
-    return x + 0.02 * leak, leak
+def pump(phase, lost_from=None, lost=0.4):
+    """A pump that runs six hours of every eighteen, with a ripple, and from some hour on a constant loss."""
+    t = np.arange(HOURS)
+    flow = np.where((t + phase) % 18 < 6, 3.0, 0.5) + 0.01 * np.cos(0.7 * t + phase)
+    lossy = t >= (HOURS if lost_from is None else lost_from)
+    return flow + lost * lossy, lossy
 
 
 @pytest.fixture(scope="module")
-def hourly(spark):
-    parts = []
-    for i, day in enumerate([None, None, 60, 80]):
-        x, leak = meter(i, day)
-        parts.append(pd.DataFrame({"series": f"m{i}", "hour": pd.date_range(START, periods=len(x), freq="h"), "hour_index": range(len(x)),
-                                   "volume": x, "leak": leak}))
-    df = spark.createDataFrame(pd.concat(parts)).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
-    return df.cache()
-
-
-def test_daily_peak_and_reconstruction(hourly):
-    spectrum = sp.power_spectrum(hourly, "series", "hour", "volume")
-    top = sp.dominant_frequencies(spectrum, "series").where("peak = 1 AND series IN ('m0', 'm1')").collect()
-    assert len(top) == 2 and all(abs(r.period_h - 24) < 0.5 for r in top)
-    pdf = hourly.where("series = 'm0'").orderBy("hour").toPandas()
-    coef = np.fft.rfft(pdf.volume - pdf.volume.mean())
-    keep = np.zeros_like(coef)
-    peaks = sp.pick_peaks(np.abs(coef) ** 2, 6)
-    keep[peaks] = coef[peaks]
-    want = np.fft.irfft(keep, len(pdf)) + pdf.volume.mean()
-    got = sp.reconstruct(hourly, spectrum, "series", "hour", "volume").where("series = 'm0'").orderBy("hour").toPandas()
-    np.testing.assert_allclose(got.rebuilt, want, atol=1e-10)
-    r2 = 1 - ((pdf.volume - want) ** 2).sum() / ((pdf.volume - pdf.volume.mean()) ** 2).sum()
-    assert abs(got.r2[0] - r2) < 1e-9
-
-
-def test_peaks_leave_neighbours_out():
-    power = np.array([99.0, 1, 5, 9, 5, 1, 8, 0, 0, 7])
-    assert sp.pick_peaks(power, 3) == [3, 6, 9]
-
-
-@pytest.mark.parametrize("n", [2880, 720, 705, 64])
-def test_wavelet_transform_is_lossless(n):
-    x = np.random.default_rng(n).normal(size=n)
+def pumps(spark):
+    frames = []
+    for name, phase, lost_from in (("even", 0, None), ("late", 5, 70 * 24 + 9), ("early", 11, 45 * 24 + 15)):
+        flow, lossy = pump(phase, lost_from)
+        frames.append(pd.DataFrame({"series": name, "hour": pd.date_range(FIRST, periods=HOURS, freq="h"), "hour_index": np.arange(HOURS), "volume": flow, "leak": lossy}))
+    return spark.createDataFrame(pd.concat(frames)).withColumn("hour", F.col("hour").cast("timestamp_ntz")).cache()
+
+
+# ---------------------------------------------------------------- spectrum
+def test_strongest_period_is_the_pump_cycle(pumps):
+    spectrum = sp.power_spectrum(pumps, "series", "hour", "volume")
+    top = sp.dominant_frequencies(spectrum, "series").where("peak = 1 and series = 'even'").first()
+    assert top["period_h"] == pytest.approx(18, rel=0.02)
+
+
+def test_more_peaks_explain_more(pumps):
+    spectrum = sp.power_spectrum(pumps, "series", "hour", "volume")
+    flow = pumps.where("series = 'even'").sort("hour").toPandas()["volume"].to_numpy()
+    rebuilt = sp.reconstruct(pumps, spectrum, "series", "hour", "volume").where("series = 'even'").sort("hour").toPandas()
+    # the rest is orthogonal to what was kept, so the explained share is the ratio of the energies
+    centred, kept = flow - flow.mean(), rebuilt["rebuilt"].to_numpy() - flow.mean()
+    assert kept @ (centred - kept) == pytest.approx(0, abs=1e-6)
+    assert rebuilt["r2"][0] == pytest.approx((kept @ kept) / (centred @ centred), abs=1e-9) and rebuilt["r2"][0] > 0.7
+
+
+@pytest.mark.parametrize("power, n, want", [
+    ([0, 4, 9, 4, 0, 0, 6, 0], 2, [2, 6]), ([0, 1, 2, 3, 4, 5], 2, [5, 2]), ([0, 7, 7, 0, 1], 1, [1])])
+def test_peaks_keep_a_distance(power, n, want):
+    assert sp.pick_peaks(np.array(power, float), n) == want
+
+
+# ---------------------------------------------------------------- wavelets
+@pytest.mark.parametrize("n", [32, 33, 500, 1024])
+def test_wavelets_rebuild_a_chirp(n):
+    x = np.cos(np.linspace(0, 9, n) ** 2) * np.linspace(1, 5, n)
     parts = wv.decompose(x)
-    assert np.abs(wv.compose(parts, n) - x).max() < 1e-10
+    np.testing.assert_allclose(wv.compose(parts, n), x, atol=1e-9)
     if n % 32 == 0:
-        assert abs(sum((p**2).sum() for p in parts) - (x**2).sum()) < 1e-8
-        still = wv.stationary(x)
-        assert abs(sum((p**2).sum() for p in still) - (x**2).sum()) < 1e-8
-        assert all(len(p) == n for p in still)
-    flat = wv.decompose(np.ones(64))
-    assert max(np.abs(d).max() for d in flat[1:]) < 1e-10
-
-
-def test_energy_adds_up(hourly):
-    rows = sp.dwt_energy(hourly, "series", "hour", "volume").toPandas().set_index("series")
-    np.testing.assert_allclose(rows.sum(axis=1), 1.0)
-    means = sp.energy_by_group(sp.dwt_energy(hourly, "series", "hour", "volume"), hourly, "series").toPandas().set_index("leak")
-    assert means.loc[True, "A5"] > means.loc[False, "A5"]
-
-
-def test_rebuild_in_spark(hourly):
-    out = sp.dwt_reconstruct(hourly, "series", "hour", "volume")
-    assert out.agg(F.max(F.abs(F.col("volume") - F.col("rebuilt")))).first()[0] < 1e-10
-
-
-def test_detectors_find_both_leaks(hourly):
-    methods = {"wavelet": sp.swt_score(hourly, "series", "volume"), "night": lk.night_flow_score(hourly, "series", "volume")}
-    for name, scored in methods.items():
-        found = {r.series: r for r in lk.detect(scored, "series").collect()}
-        assert found["m2"].detected and found["m3"].detected, name
-        assert found["m2"].delay_h >= 0 and found["m3"].delay_h >= 0
-    both = lk.method_comparison(methods, "series").collect()
-    assert {r.method for r in both} == {"wavelet", "night"} and all(r.recall == 1.0 for r in both)
-
-
-def test_alarm_needs_24_hours(spark):
-    high = [2.0] * 23 + [0.0] + [2.0] * 24
-    rows = [("a", START + dt.timedelta(hours=i), v) for i, v in enumerate(high)]
-    df = spark.createDataFrame(rows, "s string, hour timestamp_ntz, x double")
-    out = [r.run for r in wn.sustained_run(df, F.col("x") > 1, ["s"], "hour", 24, "run").orderBy("hour").collect()]
-    assert out == [False] * 47 + [True]
-
-
-def test_first_bill_has_no_history(spark):
-    rows = [(1, f"2026-{m:02d}", late, float(m)) for m, late in zip(range(1, 6), [True, None, False, None, None])]
-    out = wn.payment_history(spark.createDataFrame(rows, "conn_id int, period string, late boolean, m3 double")).orderBy("period").collect()
-    assert [r.previous_label for r in out] == [None, 1.0, 1.0, 0.0, 0.0]
-    assert [r.late_rate_so_far for r in out] == [None, 1.0, 1.0, 0.5, 0.5]
-    assert [r.bills_with_history for r in out] == [0, 1, 1, 2, 2] and out[0].m3_vs_avg6 is None
-
-
-def test_change_point(spark):
-    x = np.r_[np.full(20, 10.0), np.full(15, 14.0)] + np.random.default_rng(0).normal(0, 0.1, 35)
-    rows = [("a", dt.date(2026, 1, 1) + dt.timedelta(days=i), float(v)) for i, v in enumerate(x)]
-    r = se.change_point(spark.createDataFrame(rows, "s string, day date, v double"), ["s"], "day", "v").first()
-    a, b = x[:20], x[20:]
-    t = (a.mean() - b.mean()) / np.sqrt(a.var(ddof=1) / 20 + b.var(ddof=1) / 15)
-    assert r.k == 20 and r["at"] == dt.date(2026, 1, 21) and abs(r.t - t) < 1e-6
-
-
-def plain_holt_winters(x, a, b, g, m, ahead):
-    level, trend = x[:m].mean(), (x[m:2 * m].mean() - x[:m].mean()) / m
-    season, sse = list(x[:m] - level), 0.0
-    for i, v in enumerate(x):
-        s = season[i % m]
-        sse += (v - level - trend - s) ** 2
-        new = a * (v - s) + (1 - a) * (level + trend)
-        trend = b * (new - level) + (1 - b) * trend
-        season[i % m] = g * (v - new) + (1 - g) * s
-        level = new
-    return sse, [level + h * trend + season[(len(x) + h - 1) % m] for h in range(1, ahead + 1)]
-
-
-def test_holt_winters_matches_the_recursion(spark):
-    rng = np.random.default_rng(7)
-    x = 20 + 0.1 * np.arange(30) + 3 * np.sin(2 * np.pi * np.arange(30) / 12) + rng.normal(0, 0.3, 30)
-    rows = [("a", i, float(v)) for i, v in enumerate(x)]
-    grid = ((0.1, 0.01, 0.1), (0.5, 0.1, 0.3), (0.9, 0.3, 0.01))
-    out = se.holt_winters(spark.createDataFrame(rows, "s string, i int, v double"), ["s"], "i", "v", grid=grid).orderBy("step").collect()
-    sse, want = min(plain_holt_winters(x, *w, 12, 6) for w in grid)
-    assert abs(out[0].sse - sse) < 1e-6
-    np.testing.assert_allclose([r.forecast for r in out], want, atol=1e-9)
-
-
-def test_empty_hours_are_zero(spark):
-    rows = spark.createDataFrame([("a", START + dt.timedelta(minutes=5), 1.0), ("a", START + dt.timedelta(hours=3), 2.0), ("b", START, 4.0)],
-                                 "s string, ts timestamp_ntz, v double")
-    out = se.hourly_total(rows, "ts", "v", ["s"]).orderBy("s", "hour").collect()
-    assert [r.v for r in out] == [1.0, 0.0, 0.0, 2.0, 4.0, 0.0, 0.0, 0.0]
+        energy = x @ x
+        assert sum(p @ p for p in parts) == pytest.approx(energy) and sum(p @ p for p in wv.stationary(x)) == pytest.approx(energy)
+
+
+def test_details_ignore_straight_lines():
+    line = np.linspace(-3, 3, 256)
+    inner = [d[8:-8] for d in wv.decompose(line)[1:] if len(d) > 24]
+    assert inner and max(np.abs(d).max() for d in inner) < 1e-9
+
+
+def test_shares_of_energy(pumps):
+    shares = sp.dwt_energy(pumps, "series", "hour", "volume")
+    table = shares.toPandas().set_index("series")
+    assert (table.to_numpy() >= 0).all() and np.allclose(table.sum(axis=1), 1)
+    by_leak = {r["leak"]: r["A5"] for r in sp.energy_by_group(shares, pumps, "series").collect()}
+    assert by_leak[True] > by_leak[False]  # a constant loss adds to the slowest part
+
+
+def test_rebuilt_in_spark(pumps):
+    gap = sp.dwt_reconstruct(pumps, "series", "hour", "volume").select(F.max(F.abs(F.col("rebuilt") - F.col("volume")))).first()[0]
+    assert gap < 1e-9
+
+
+# ---------------------------------------------------------------- detectors
+def test_losses_are_found_after_they_begin(pumps):
+    scored = {"swt": sp.swt_score(pumps, "series", "volume"), "flow": lk.night_flow_score(pumps, "series", "volume")}
+    for name in scored:
+        rows = {r["series"]: r for r in lk.detect(scored[name], "series").collect()}
+        for series in ("late", "early"):
+            if rows[series]["detected"]:
+                assert rows[series]["delay_h"] >= 0, name
+    table = {r["method"]: r for r in lk.method_comparison(scored, "series").collect()}
+    assert set(table) == set(scored) and table["flow"]["recall"] == 1.0
+
+
+@pytest.mark.parametrize("marks, length, want", [
+    ("110111", 2, "010011"), ("1111", 1, "1111"), ("1110111", 4, "0000000"), ("0111", 3, "0001")])
+def test_runs_must_last(spark, marks, length, want):
+    rows = [("s", FIRST + dt.timedelta(hours=i), int(m)) for i, m in enumerate(marks)]
+    df = spark.createDataFrame(rows, "s string, hour timestamp_ntz, high int")
+    out = wn.sustained_run(df, F.col("high") == 1, ["s"], "hour", length, "run").sort("hour").collect()
+    assert "".join(str(int(r["run"])) for r in out) == want
+
+
+# ---------------------------------------------------------------- history and change
+def test_history_sees_only_the_past(spark):
+    late = [None, True, True, None, False, True]
+    rows = [(9, f"2024-{i + 1:02d}", label, 10.0 * (i + 1)) for i, label in enumerate(late)]
+    out = wn.payment_history(spark.createDataFrame(rows, "conn_id int, period string, late boolean, m3 double")).sort("period").collect()
+    for i, row in enumerate(out):
+        known = [x for x in late[:i] if x is not None]
+        assert row["bills_with_history"] == len(known)
+        assert row["previous_label"] == (float(known[-1]) if known else None)
+        assert row["late_rate_so_far"] == (pytest.approx(sum(known) / len(known)) if known else None)
+    assert out[0]["m3_vs_avg6"] is None
+
+
+def test_change_point_of_a_ramp_with_a_step(spark):
+    level = [5.0, 5.2, 4.8, 5.1] * 6 + [9.0, 9.1, 8.8] * 6
+    rows = [("z", dt.date(2022, 3, 10) + dt.timedelta(days=i), v) for i, v in enumerate(level)]
+    got = se.change_point(spark.createDataFrame(rows, "s string, day date, v double"), ["s"], "day", "v").first()
+    before, after = np.array(level[:24]), np.array(level[24:])
+    spread = before.var(ddof=1) / 24 + after.var(ddof=1) / 18
+    assert got["k"] == 24 and got["at"] == dt.date(2022, 4, 3)
+    assert got["t"] == pytest.approx((before.mean() - after.mean()) / np.sqrt(spread), abs=1e-6)
+
+
+# ---------------------------------------------------------------- Holt-Winters
+def forecasts(spark, values, **options):
+    rows = [("z", i, float(v)) for i, v in enumerate(values)]
+    return se.holt_winters(spark.createDataFrame(rows, "s string, i int, v double"), ["s"], "i", "v", **options).sort("step").collect()
+
+
+def test_a_pure_season_on_a_level_is_continued_exactly(spark):
+    season = [3.0, -1.0, -2.0, 0.0]
+    out = forecasts(spark, [10 + season[i % 4] for i in range(16)], period=4, ahead=4)
+    assert out[0]["sse"] == pytest.approx(0, abs=1e-18) and out[0]["problem"] is None
+    np.testing.assert_allclose([r["forecast"] for r in out], [10 + s for s in season])
+
+
+def test_one_period_by_hand(spark):
+    # period 1: level 2, trend 4 - 2; the season is zero and stays zero with gamma 0
+    out = forecasts(spark, [2.0, 4.0], period=1, ahead=2, grid=((0.5, 0.0, 0.0),))
+    # 2: guess 4, level 0.5 * 2 + 0.5 * 4 = 3; 4: guess 5, level 0.5 * 4 + 0.5 * 5 = 4.5
+    assert out[0]["sse"] == pytest.approx((2 - 4) ** 2 + (4 - 5) ** 2)
+    assert [r["forecast"] for r in out] == [pytest.approx(6.5), pytest.approx(8.5)]
+
+
+def test_the_best_grid_point_wins(spark):
+    values = np.random.default_rng(21).normal(50, 4, 40)
+    grid = ((0.1, 0.01, 0.01), (0.9, 0.3, 0.5), (0.5, 0.1, 0.1))
+    alone = [forecasts(spark, values, grid=(g,))[0]["sse"] for g in grid]
+    assert forecasts(spark, values, grid=grid)[0]["sse"] == pytest.approx(min(alone))
+
+
+def test_short_series_stay_with_a_reason(spark):
+    out = forecasts(spark, range(20), ahead=3)
+    assert [(r["step"], r["forecast"], r["problem"]) for r in out] == [(i, None, "shorter than two seasons") for i in (1, 2, 3)]
+
+
+def test_hours_without_pulses_are_zero(spark):
+    minutes = [("a", 5, 1.5), ("a", 59, 0.5), ("a", 130, 4.0), ("b", 61, 1.0)]
+    rows = spark.createDataFrame([(s, FIRST + dt.timedelta(minutes=m), v) for s, m, v in minutes], "s string, ts timestamp_ntz, v double")
+    out = se.hourly_total(rows, "ts", "v", ["s"]).sort("s", "hour").collect()
+    assert [(r["s"], r["v"]) for r in out] == [("a", 2.0), ("a", 0.0), ("a", 4.0), ("b", 0.0), ("b", 1.0), ("b", 0.0)]
