@@ -247,10 +247,12 @@ def _vocabulary(blocks: DataFrame, buckets: int) -> DataFrame:
         coded = pa.concat_arrays(lists).dictionary_encode()
         place = coded.indices.to_numpy().astype(np.int64)
         total = np.bincount(place, weights=np.concatenate([unpack(c) for c in table["counts"].to_pylist()]), minlength=len(coded.dictionary)).astype(np.int64)
+        rank = np.empty(len(total), np.int64)  # frequent words get small places, so that packed numbers are short
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
         bucket, rows, at = table["bucket"][0].as_py(), [], 0
         for name, words in zip(table["block"].to_pylist(), lists):
             mine = place[at:at + len(words)]
-            rows.append((name, "word", bucket, pack(mine), pack(total[mine])))
+            rows.append((name, "word", bucket, pack(rank[mine]), pack(total[mine])))
             at += len(words)
         rows.append((-1, "size", bucket, pack(np.array([len(total), int((total > 0).sum()), int(total.sum())])), b""))
         return _answers(rows)
@@ -266,14 +268,14 @@ def word_buckets(words: pa.Array, buckets: int) -> np.ndarray:
 class _Block:
     """A block with the global numbers and counts of its words."""
 
-    def __init__(self, row: dict, answers: list[dict], offsets: np.ndarray, buckets: int):
+    def __init__(self, row: dict, answers: list[dict], buckets: int):
         self.words = unpack_strings(row["words"])
         self.place = word_buckets(self.words, buckets)
         self.number, self.count = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
         for a in answers:
             if a["kind"] == "word":
                 at = np.flatnonzero(self.place == a["bucket"])
-                self.number[at], self.count[at] = offsets[a["bucket"]] + unpack(a["a"]), unpack(a["b"])
+                self.number[at], self.count[at] = unpack(a["a"]) * buckets + a["bucket"], unpack(a["b"])
         self.keys = pa.ipc.open_stream(row["keys"]).read_all()
         self.held_out = self.keys["held_out"].to_numpy().astype(bool)
         self.lengths, self.tokens = unpack(row["lengths"]), unpack(row["tokens"])
@@ -283,46 +285,71 @@ class _Block:
     def deal(self, buckets: int, hot: float) -> tuple[np.ndarray, list[np.ndarray]]:
         """Pairs in the order in which they are dealt out, cut by bucket."""
         u, w = self.number[self.context], self.number[self.word]
-        salted = self.count[self.context] >= hot
-        h = mix(u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.where(salted, w, 0).astype(np.uint64))
-        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        spread = (mix(w.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        bucket = (u + np.where(self.count[self.context] >= hot, spread, 0)) % buckets
         order = np.lexsort((w, u, bucket))
         return order, np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
 
 
+def about(counts: np.ndarray) -> np.ndarray:
+    """Counts as one byte, to a few per cent."""
+    return np.round(8 * np.log2(counts + 1)).astype(np.int64)
+
+
+def about_back(codes: np.ndarray) -> np.ndarray:
+    return np.exp2(codes / 8) - 1
+
+
+def pack_pairs(u: np.ndarray, w: np.ndarray, bucket: int, buckets: int) -> tuple[bytes, bytes, bytes, bytes]:
+    """Sorted (context, word) numbers: contexts' quotients by the number of buckets, what their remainders add to the
+    bucket (0 but for split contexts), words per context, and the words' steps inside a context."""
+    first, size = _contexts_of(u)
+    step = np.diff(w, prepend=0)
+    step[first] = w[first]
+    return pack(np.diff(u[first] // buckets, prepend=0)), pack((u[first] - bucket) % buckets), pack(size), pack(step)
+
+
+def unpack_pairs(quotient: bytes, rest: bytes, size: bytes, step: bytes, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts and words of all entries, and the words per context."""
+    size, total = unpack(size), np.cumsum(unpack(step))
+    first = np.cumsum(size) - size
+    before = np.where(first > 0, total[np.maximum(first - 1, 0)], 0)
+    contexts = np.cumsum(unpack(quotient)) * buckets + (unpack(rest) + bucket) % buckets
+    return np.repeat(contexts, size), total - np.repeat(before, size), size
+
+
 def _contexts_of(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and number of entries of every context in sorted entries."""
     first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]])) if len(u) else np.empty(0, np.int64)
     return first, np.diff(np.append(first, len(u)))
 
 
-def _seated(blocks: DataFrame, vocabulary: DataFrame, offsets: np.ndarray, word_count: int, buckets: int, hot: float, n: int, v: int) -> DataFrame:
+def _seated(blocks: DataFrame, vocabulary: DataFrame, word_count: int, buckets: int, hot: float, n: int, v: int) -> DataFrame:
     """Restaurants of all contexts. Kinds: pair (per block: mass kept by each pair, mass given back by each
     context), up (per word bucket: places of words, and their tables), hot (context, mass given back here)."""
-    shared = blocks.sparkSession.sparkContext.broadcast(offsets)
-
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         answers, out = right.to_pylist(), []
         for row in left.to_pylist():
-            block = _Block(row, answers, shared.value, word_count)
+            block = _Block(row, answers, word_count)
             _, parts = block.deal(buckets, hot)
             for b, at in enumerate(parts):
                 if not len(at):
                     continue
                 u, w = block.number[block.context[at]], block.number[block.word[at]]
-                first, size = _contexts_of(u)
-                out.append((row["block"], b, pack(np.diff(u[first], prepend=0)), pack(size), pack(block.count[block.context[at[first]]]),
-                            pack(w), pack(block.pair_count[at]), pack(block.count[block.word[at]])))
-        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 6)
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 8, kinds)], names=names)
+                first, _ = _contexts_of(u)
+                out.append((row["block"], b, *pack_pairs(u, w, b, buckets), pack(block.count[block.context[at[first]]]),
+                            pack(block.pair_count[at]), pack(about(block.count[block.word[at]]))))
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 7)
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 9, kinds)], names=names)
 
     def seat(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         rows, bucket = table.to_pylist(), table["bucket"][0].as_py()
-        size = [unpack(r["size"]) for r in rows]
-        u = np.concatenate([np.repeat(np.cumsum(unpack(r["context"])), s) for r, s in zip(rows, size)])
+        entries = [unpack_pairs(r["quotient"], r["rest"], r["size"], r["step"], bucket, buckets) for r in rows]
+        size = [e[2] for e in entries]
+        u, w = (np.concatenate([e[i] for e in entries]) for i in (0, 1))
         uc = np.concatenate([np.repeat(unpack(r["context_count"]), s) for r, s in zip(rows, size)])
-        w, c, wc = (np.concatenate([unpack(r[x]) for r in rows]) for x in ("word", "count", "word_count"))
+        c, wc = (np.concatenate([unpack(r[x]) for r in rows]) for x in ("count", "word_count"))
         order = np.lexsort((w, u))
         new = np.ones(len(order), bool)
         new[1:] = (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])
@@ -337,7 +364,7 @@ def _seated(blocks: DataFrame, vocabulary: DataFrame, offsets: np.ndarray, word_
         if len(seen):
             # chances of single words before their restaurant is known: discounted counts
             d0 = 0.5
-            parent = np.maximum((wc[lead][seen] - d0 + (PARENT_STRENGTH + d0 * v) / (v + 1)) / (PARENT_STRENGTH + n), 1e-300)
+            parent = np.maximum((about_back(wc[lead][seen]) - d0 + (PARENT_STRENGTH + d0 * v) / (v + 1)) / (PARENT_STRENGTH + n), 1e-300)
             here = np.bincount(context, weights=total)
             more = np.where(here > 0, uc[lead][np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))] / np.maximum(here, 1), 1)
             discount, mean, last = sample_tables(context[seen], total[seen], parent, bucket, STRENGTH, np.maximum(more, 1))
@@ -345,10 +372,10 @@ def _seated(blocks: DataFrame, vocabulary: DataFrame, offsets: np.ndarray, word_
             back += np.bincount(context[seen], weights=discount * mean, minlength=len(back))
             word, which = np.unique(w[lead][seen], return_inverse=True)
             tables = np.bincount(which, weights=last).astype(np.int64)
-            home = np.searchsorted(shared.value, word, side="right") - 1
+            home = word % word_count
             for b in np.unique(home):
                 at = np.flatnonzero(home == b)
-                up.append((-1, "up", int(b), pack(word[at] - shared.value[b]), pack(tables[at])))
+                up.append((-1, "up", int(b), pack(word[at] // word_count), pack(tables[at])))
         out, at = [], 0
         for r, s in zip(rows, size):
             mine = kind[at:at + int(s.sum())]
@@ -360,7 +387,7 @@ def _seated(blocks: DataFrame, vocabulary: DataFrame, offsets: np.ndarray, word_
         out += [(int(u[lead][begin[i]]), "hot", bucket, pack(back[i:i + 1].astype(np.float32)), b"") for i in burning]
         return _answers(out + up)
 
-    names = ["block", "bucket", "context", "size", "context_count", "word", "count", "word_count"]
+    names = ["block", "bucket", "quotient", "rest", "size", "step", "context_count", "count", "word_count"]
     asked = blocks.groupBy("block").cogroup(vocabulary.where("kind = 'word'").groupBy("block")).applyInArrow(
         ask, "block bigint, bucket int, " + ", ".join(f"{x} binary" for x in names[2:]))
     return materialize(asked.groupBy("bucket").applyInArrow(seat, ANSWER))
@@ -403,27 +430,26 @@ def score(documents: DataFrame, held_out: Column, *, key: str = "doc_id", text:
     word_count = max(2 * cores, math.ceil(n_words / BUCKET_ENTRIES))
     pair_count = max(2 * cores, math.ceil(n_pairs / BUCKET_ENTRIES))
     vocabulary = _vocabulary(blocks, word_count)
-    sizes, known, learned = np.zeros(word_count, np.int64), 0, 0
-    for r in vocabulary.where("kind = 'size'").select("bucket", "a").collect():  # three numbers per bucket
-        sizes[r["bucket"]], more, tokens = unpack(bytes(r["a"]))
+    known, learned = 0, 0
+    for r in vocabulary.where("kind = 'size'").select("a").collect():  # three numbers per bucket
+        _, more, tokens = unpack(bytes(r["a"]))
         known, learned = known + int(more), learned + int(tokens)
-    offsets = np.cumsum(sizes) - sizes
     hot = max(1.0, learned / (4 * pair_count))  # at most 4 * pair_count contexts have as many tokens
-    seated = _seated(blocks, vocabulary, offsets, word_count, pair_count, hot, learned, known)
+    seated = _seated(blocks, vocabulary, word_count, pair_count, hot, learned, known)
     given = {r["block"]: r["back"] for r in seated.where("kind = 'hot'").groupBy("block").agg(F.collect_list("a").alias("back")).collect()}
     given = {u: float(sum(unpack(bytes(x))[0] for x in parts)) for u, parts in given.items()}
     parent = _parent(vocabulary, seated, known)
     sums = [np.frombuffer(bytes(r["a"]), np.float64) for r in parent.where("kind = 'sum'").select("a").collect()]
     back0, customers = (float(sum(s[i] for s in sums)) for i in (0, 1))
-    shared = spark.sparkContext.broadcast((offsets, given))
+    shared = spark.sparkContext.broadcast(given)
     out_type = pa.schema([("key", to_arrow_type(kind)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                           ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        offsets, given = shared.value
+        given = shared.value
         answers, out = right.to_pylist(), []
         for row in left.to_pylist():
-            block = _Block(row, answers, offsets, word_count)
+            block = _Block(row, answers, word_count)
             single = np.zeros(len(block.words))
             order, parts = block.deal(pair_count, hot)
             kept, back = np.zeros(len(order)), np.zeros(len(order))

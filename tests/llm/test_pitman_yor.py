@@ -40,6 +40,19 @@ def test_packing_round_trip():
     assert py.unpack_strings(py.pack_strings(words)).to_pylist() == words.to_pylist()
 
 
+def test_pairs_round_trip():
+    rng = np.random.default_rng(8)
+    buckets, bucket = 7, 3
+    u = np.sort(np.concatenate([rng.integers(0, 50, 200) * buckets + bucket, rng.integers(0, 300, 20)]))
+    w = rng.integers(0, 10_000, len(u))
+    order = np.lexsort((w, u))
+    u, w = u[order], w[order]
+    got = py.unpack_pairs(*py.pack_pairs(u, w, bucket, buckets), bucket, buckets)
+    assert (got[0] == u).all() and (got[1] == w).all() and got[2].sum() == len(u)
+    counts = np.array([0, 1, 2, 10, 12345, 10**9])
+    assert np.allclose(py.about_back(py.about(counts)), counts, rtol=0.1, atol=0.1)
+
+
 def partitions(n):
     """Sizes of the tables of every seating of n customers."""
     seatings = [[]]
