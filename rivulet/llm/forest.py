@@ -155,6 +155,11 @@ class _Top:
         self.query, self.ids, self.score = self.query[keep], self.ids[keep], self.score[keep]
 
 
+def _lists(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) or [[]] * 3
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], ["query", "ids", "scores"])
+
+
 def usable(vector: str) -> Column:
     """Not null or empty, all components finite, not all zero."""
     v = F.col(vector).cast("array<double>")
@@ -291,9 +296,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, *, key: str = "vec_i
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["tree", "part", "block", "query", "vector", "leaves"])
 
     def meet(questions: pa.Table, rows: pa.Table) -> pa.Table:
-        names = ["query", "id", "score"]
         if not questions.num_rows or not rows.num_rows:
-            return pa.table({"query": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return _lists([])
         who = questions["query"].to_numpy()
         lists = questions["leaves"].combine_chunks()
         wanted, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
@@ -310,17 +314,48 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, *, key: str = "vec_i
             if a < b:
                 top.add(asker[c:d], ids[a:b], x[a:b])
         top.trim()
-        return pa.table([pa.array(who[top.query]), pa.array(top.ids), pa.array(top.score)], names)
+        order = np.argsort(top.query, kind="stable")
+        number, ids, score = top.query[order], top.ids[order], top.score[order]
+        one, first = np.unique(number, return_index=True)
+        return _lists([(int(who[q]), i.tobytes(), s.tobytes()) for q, i, s in zip(one, np.split(ids, first[1:]), np.split(score, first[1:]))])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k + 1 best of every query; its lists follow each other."""
+        query, ids, score = None, [], []
+
+        def best() -> tuple[np.ndarray, np.ndarray]:
+            i, s = np.concatenate(ids), np.concatenate(score)
+            keep = _best(np.zeros(len(i), np.int64), i, s, k + 1)
+            return i[keep], s[keep]
+
+        def row() -> tuple:
+            i, s = best()
+            return query, [{"less": -x, "id": y} for x, y in zip(s.tolist(), i.tolist())]
+
+        for batch in batches:
+            done = []
+            for q, i, s in zip(*(batch.column(c).to_pylist() for c in ("query", "ids", "scores"))):
+                if q != query:
+                    done += [row()] if query is not None else []
+                    query, ids, score = q, [], []
+                ids.append(np.frombuffer(i, np.int64))
+                score.append(np.frombuffer(s, np.float64))
+                if len(ids) > 64:
+                    i, s = best()
+                    ids, score = [i], [s]
+            yield answers_of(done)
+        yield answers_of([row()] if query is not None else [])
+
+    def answers_of(rows: list[tuple]) -> pa.RecordBatch:
+        found = pa.list_(pa.struct([("less", pa.float64()), ("id", pa.int64())]))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], found)], ["query", "found"])
 
     on = ["tree", "part", "block"]
     left = reps.select("id", "vector").mapInArrow(ask, "tree int, part int, block int, query bigint, vector binary, leaves array<bigint>")
     right = base.mapInArrow(place, "tree int, part int, block int, leaf bigint, id bigint, vector binary")
-    met = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(meet, "query bigint, id bigint, score double")
-    # every tree may bring the same candidate, so trees * (k + 1) rows hold the k + 1 best of a query
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    best = met.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= trees * (k + 1)).groupBy("query").agg(
-        F.collect_set(F.struct((-F.col("score")).alias("less"), "id")).alias("found"))
-    answers = best.select("query", F.array_sort("found").alias("found")).join(reps.select(F.col("id").alias("query"), "vector"), "query")
+    met = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(meet, "query bigint, ids binary, scores binary")
+    best = met.repartition("query").sortWithinPartitions("query").mapInArrow(merge, "query bigint, found array<struct<less:double,id:bigint>>")
+    answers = best.join(reps.select(F.col("id").alias("query"), "vector"), "query")
     full = asked.select(F.col("id").alias("query_id"), "vector").join(answers.select("vector", "found"), "vector")
     own = F.slice(F.filter("found", lambda f: f["id"] != F.col("query_id")), 1, k)
     return full.select("query_id", F.posexplode(own).alias("rank", "f")).select(
