@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.operators import metrics as mt
+from rivulet.operators import trees as tr
 from rivulet.operators.ranks import pick_quantiles, value_counts
 from rivulet.operators.windows import payment_history
 from rivulet.session import materialize
@@ -85,14 +87,18 @@ class Preprocessor:
     def size(self) -> int:
         return len(NUMERIC + BINARY) + len(self.marked) + sum(len(v) + bool(r) for v, r in self.values.values())
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add the ``features`` vector; an unknown value gets no one-hot mark."""
+    def array(self) -> Column:
+        """All features of a row; an unknown value gets no one-hot mark."""
         parts = [(e - self.scale[n][0]) / self.scale[n][1] if self.scale else e for n, e in self.numeric().items()]
         for c, (common, rare) in self.values.items():
             parts += [F.coalesce(F.col(c) == v, F.lit(False)).cast("double") for v in common]
             if rare:
                 parts.append(F.coalesce(F.col(c).isin(rare), F.lit(False)).cast("double"))
-        return df.withColumn("features", array_to_vector(F.array(*parts)))
+        return F.array(*parts)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add the ``features`` vector."""
+        return df.withColumn("features", array_to_vector(self.array()))
 
 
 Scorer = Callable[[DataFrame, str], DataFrame]
@@ -133,14 +139,24 @@ def logistic(c: float = 0.5, max_iter: int = 200) -> Fit:
         weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=1e-5), True)
 
 
-def random_forest(trees: int = 300, depth: int = 12) -> Fit:
-    return _fit(lambda _: RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=20,
-                                                 featureSubsetStrategy="sqrt", seed=SEED), False)
+def _fit_trees(key: str, **options) -> Fit:
+    """Balanced trees; the fit takes a bounded number of labelled rows, scoring takes all rows."""
+
+    def fit(train: DataFrame) -> Scorer:
+        prep = Preprocessor.fit(train, False)
+        rows, _ = balanced(train)
+        found = tr.fit_in_tasks(train, *tr.labelled_sample(rows, prep.array(), "y", "weight", key), seed=SEED, **options)
+        return lambda df, out: tr.score(df, found, prep.array(), out)
+
+    return fit
+
 
+def random_forest(trees: int = 300, depth: int = 12, key: str = "bill_id") -> Fit:
+    return _fit_trees(key, boosted=False, trees=trees, depth=depth, least=20)
 
-def gradient_boosting(rounds: int = 300, depth: int = 4) -> Fit:
-    return _fit(lambda _: GBTClassifier(
-        weightCol="weight", maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=SEED), False)
+
+def gradient_boosting(rounds: int = 300, depth: int = 4, key: str = "bill_id") -> Fit:
+    return _fit_trees(key, boosted=True, trees=rounds, depth=depth, least=20)
 
 
 def soft_vote(fits: list[Fit]) -> Fit:
@@ -163,22 +179,35 @@ def soft_vote(fits: list[Fit]) -> Fit:
 def out_of_fold(train: DataFrame, fit: Fit, folds: int = 5) -> DataFrame:
     """Validation scores of the temporal folds: (bill_id, y, p, fold)."""
     marks = materialize(mt.time_series_folds(train, "period", folds))
-    parts = []
-    for k in range(1, folds + 1):
+
+    def one(k: int) -> DataFrame:
         fold = F.broadcast(marks.where(F.col("fold") == k).drop("fold"))
         rows = train.join(fold, "period")
         scorer = fit(rows.where(~F.col("is_validation")))
-        parts.append(scorer(rows.where("is_validation"), "p").select("bill_id", "y", "p", F.lit(k).alias("fold")))
-    return materialize(reduce(DataFrame.unionByName, parts))
+        return scorer(rows.where("is_validation"), "p").select("bill_id", "y", "p", F.lit(k).alias("fold"))
+
+    with ThreadPoolExecutor(folds) as pool:  # the folds' jobs run side by side
+        return materialize(reduce(DataFrame.unionByName, pool.map(one, range(1, folds + 1))))
+
 
+def mean_of(scores: list[DataFrame]) -> DataFrame:
+    """Mean score per bill: the vote of models that were scored on the same rows."""
+    every = reduce(DataFrame.unionByName, scores)
+    return every.groupBy("bill_id", "fold").agg(F.first("y").alias("y"), F.avg("p").alias("p"))
 
-def choose_by_cv(train: DataFrame, fits: dict[str, Fit], folds: int = 5) -> list[tuple[str, float, float]]:
-    """(model, out-of-fold average precision, threshold), best first; the test rows are never seen."""
+
+def choose_by_cv(train: DataFrame, fits: dict[str, Fit], folds: int = 5, vote: str | None = None) -> list[tuple[str, float, float]]:
+    """(model, out-of-fold average precision, threshold), best first; the test rows are never seen.
+
+    With ``vote``, the mean of all models' scores is a candidate of that name; it needs no further fits.
+    """
+    scores = {name: out_of_fold(train, fit, folds) for name, fit in fits.items()}
+    if vote is not None:
+        scores[vote] = materialize(mean_of(list(scores.values())))
     out = []
-    for name, fit in fits.items():
-        scores = out_of_fold(train, fit, folds)
-        ap = mt.ranking_metrics(scores, "y", "p").first()["average_precision"]
-        out.append((name, ap, mt.best_threshold(scores, "y", "p").first()["threshold"]))
+    for name, rows in scores.items():
+        ap = mt.ranking_metrics(rows, "y", "p").first()["average_precision"]
+        out.append((name, ap, mt.best_threshold(rows, "y", "p").first()["threshold"]))
     return sorted(out, key=lambda r: -r[1])
 
 

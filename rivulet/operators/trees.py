@@ -1,0 +1,191 @@
+"""Boosted trees and random forests, fitted on a bounded sample of labelled rows.
+
+FIT_ROWS labelled rows at most are used for a fit, chosen by a hash of the key; below that, all of
+them. Columns are cut into quantile bins once. A tree grows level by level: one histogram per column
+holds the sums of all nodes. The trees of a forest are independent and grow in as many tasks as there
+are cores; rounds of boosting follow each other in one task. Scoring reads all rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+FIT_ROWS = 100_000
+BINS = 127
+
+
+@dataclass(frozen=True)
+class Trees:
+    """Complete trees as arrays: column and limit per inner node (column -1: a leaf above), value per node."""
+
+    column: np.ndarray
+    limit: np.ndarray
+    value: np.ndarray
+    start: float
+    rate: float
+    boosted: bool
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x))
+        rows = np.arange(len(x))
+        for column, limit, value in zip(self.column, self.limit, self.value):
+            node = np.zeros(len(x), np.int64)
+            while True:
+                inner = column[node] >= 0
+                if not inner.any():
+                    break
+                right = x[rows, np.maximum(column[node], 0)] > limit[node]
+                node = np.where(inner, 2 * node + 1 + right, node)
+            total += value[node]
+        if self.boosted:
+            return 1 / (1 + np.exp(-(self.start + self.rate * total)))
+        return total / max(1, len(self.column))
+
+
+def edges_of(x: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
+    """Upper ends of the bins of every column: distinct quantiles without the largest value."""
+    out = []
+    for column in x.T:
+        values = np.unique(column)
+        if len(values) > bins:
+            values = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1), method="lower"))
+        out.append((values[:-1] + values[1:]) / 2 if len(values) <= bins else values[:-1])
+    return out
+
+
+def grow(binned: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, edges: list[np.ndarray], depth: int, least: int, smooth: float,
+         rng: np.random.Generator | None = None, tried: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One tree: columns, limits, values, and the node of every row. ``tried`` columns are drawn per node."""
+    size = 2 ** (depth + 1) - 1
+    column, limit, value = np.full(size, -1, np.int64), np.zeros(size), np.zeros(size)
+    node, width = np.zeros(len(binned), np.int64), BINS + 1
+    value[0] = -gradient.sum() / max(hessian.sum() + smooth, 1e-12)
+    rows, names, here = np.arange(len(binned)), np.zeros(1, np.int64), np.zeros(len(binned), np.int64)
+    for level in range(depth):
+        # ``names`` are the nodes that may still be split, ``rows`` their rows, ``here`` the place of each row's node
+        count = len(names)
+        best, where, cut = np.full(count, 1e-9), np.full(count, -1), np.zeros(count, np.int64)
+        g, h = np.bincount(here, gradient[rows], count), np.bincount(here, hessian[rows], count)
+        own = g**2 / np.maximum(h + smooth, 1e-12)
+        allowed = np.ones((count, binned.shape[1]), bool)
+        if tried is not None:
+            allowed[:] = False
+            np.put_along_axis(allowed, np.argsort(rng.random(allowed.shape), axis=1)[:, :tried], True, axis=1)
+        for j in range(binned.shape[1]):
+            mine = np.flatnonzero(allowed[:, j])
+            if not len(mine):
+                continue
+            place = np.full(count, -1)
+            place[mine] = np.arange(len(mine))
+            at = place[here]
+            kept = at >= 0
+            cell = at[kept] * width + binned[rows[kept], j]
+            left = [np.bincount(cell, v, len(mine) * width).reshape(-1, width).cumsum(axis=1) for v in (gradient[rows[kept]], hessian[rows[kept]], None)]
+            right = [x[:, -1:] - x for x in left]
+            gain = sum(s[0] ** 2 / np.maximum(s[1] + smooth, 1e-12) for s in (left, right)) - own[mine][:, None]
+            gain[(left[2] < least) | (right[2] < least)] = -1
+            top = gain.argmax(axis=1)
+            score = gain[np.arange(len(mine)), top]
+            better = score > best[mine]
+            best[mine], where[mine], cut[mine] = np.where(better, score, best[mine]), np.where(better, j, where[mine]), np.where(better, top, cut[mine])
+        split = np.flatnonzero(where >= 0)
+        if not len(split):
+            break
+        column[names[split]] = where[split]
+        limit[names[split]] = [edges[where[i]][cut[i]] for i in split]
+        kept = where[here] >= 0
+        rows, here = rows[kept], here[kept]
+        node[rows] = 2 * node[rows] + 1 + (binned[rows, where[here]] > cut[here])
+        names, here, sizes = np.unique(node[rows], return_inverse=True, return_counts=True)
+        value[names] = -np.bincount(here, gradient[rows]) / np.maximum(np.bincount(here, hessian[rows]) + smooth, 1e-12)
+        kept = sizes[here] >= 2 * least
+        names = names[sizes >= 2 * least]
+        if not len(names):
+            break
+        rows = rows[kept]
+        here = np.searchsorted(names, node[rows])
+    return column, limit, value, node
+
+
+def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1).astype(np.int64)
+
+
+def fit_boosted(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int, depth: int, rate: float = 0.05, least: int = 20, smooth: float = 1.0) -> Trees:
+    """Newton boosting of the weighted log loss."""
+    edges = edges_of(x)
+    binned = _binned(x, edges)
+    share = np.clip(np.average(y, weights=weight), 1e-6, 1 - 1e-6)
+    start = float(np.log(share / (1 - share)))
+    raw, parts = np.full(len(y), start), []
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-raw))
+        column, limit, value, node = grow(binned, weight * (p - y), np.maximum(weight * p * (1 - p), 1e-9), edges, depth, least, smooth)
+        raw += rate * value[node]
+        parts.append((column, limit, value))
+    return Trees(*(np.array([t[i] for t in parts]) for i in range(3)), start, rate, True)
+
+
+def fit_forest_part(x: np.ndarray, y: np.ndarray, weight: np.ndarray, numbers: list[int], depth: int, least: int, seed: int) -> list[tuple]:
+    """The trees of the given numbers: bootstrap rows, a random root of the columns per node, mean label per leaf."""
+    edges = edges_of(x)
+    binned = _binned(x, edges)
+    out = []
+    for number in numbers:
+        rng = np.random.default_rng((seed, number))
+        times = np.bincount(rng.integers(0, len(y), len(y)), minlength=len(y))
+        rows = times > 0
+        w = (weight * times)[rows]
+        column, limit, value, _ = grow(binned[rows], -w * y[rows], w, edges, depth, least, 0.0, rng, max(1, round(x.shape[1] ** 0.5)))
+        out.append((number, column.tolist(), limit.tolist(), value.tolist()))
+    return out
+
+
+def labelled_sample(rows: DataFrame, features: Column, y: str, weight: str, key: str, most: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature matrix, labels and weights of at most ``most`` rows, in the order of the keys."""
+    n = rows.count()
+    chosen = rows if n <= most else rows.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(int(0.97 * most / n * 1_000_000))).limit(most)
+    pdf = chosen.select(F.col(key).alias("k"), features.alias("x"), F.col(y).cast("double").alias("y"), F.col(weight).alias("w")).toPandas().sort_values("k")
+    return np.array(pdf["x"].tolist(), float), pdf["y"].to_numpy(), pdf["w"].to_numpy(float)
+
+
+def fit_in_tasks(df: DataFrame, x: np.ndarray, y: np.ndarray, w: np.ndarray, *, boosted: bool, trees: int, depth: int, least: int, seed: int) -> Trees:
+    """Fit on the executors from the broadcast sample."""
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast((x, y, w))
+
+    def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers = [int(i) for pdf in batches for i in pdf["id"]]
+        if numbers:
+            yield pd.DataFrame(fit_forest_part(*shared.value, numbers, depth, least, seed), columns=["number", "column", "limit", "value"])
+
+    def boost(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                t = fit_boosted(*shared.value, trees, depth, least=least)
+                yield pd.DataFrame({"number": range(trees), "column": list(t.column), "limit": list(t.limit), "value": list(t.value), "start": t.start, "rate": t.rate})
+
+    schema = "number int, column array<bigint>, limit array<double>, value array<double>"
+    if boosted:
+        found = spark.range(1, numPartitions=1).mapInPandas(boost, schema + ", start double, rate double").toPandas().sort_values("number")
+        return Trees(*(np.array(found[c].tolist()) for c in ("column", "limit", "value")), float(found["start"].iloc[0]), float(found["rate"].iloc[0]), True)
+    parts = min(trees, spark.sparkContext.defaultParallelism)
+    found = spark.range(trees, numPartitions=parts).mapInPandas(forest, schema).toPandas().sort_values("number")
+    return Trees(*(np.array(found[c].tolist()) for c in ("column", "limit", "value")), 0.0, 1.0, False)
+
+
+def score(df: DataFrame, trees: Trees, features: Column, out: str) -> DataFrame:
+    """``df`` with the probability of label 1."""
+    shared = df.sparkSession.sparkContext.broadcast(trees)
+
+    @F.pandas_udf("double")
+    def probability(x: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.probability(np.array(x.tolist(), float)) if len(x) else [], dtype=float)
+
+    return df.withColumn(out, probability(features))

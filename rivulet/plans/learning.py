@@ -17,9 +17,6 @@ from rivulet.plans.registry import query, with_ctes
 from rivulet.plans.summaries import PROFILE, PROFILE_COLUMNS, r6
 from rivulet.session import materialize
 
-# Smaller than the operators' defaults (300 trees, 300 rounds), so that a run of all queries stays short.
-TREES, ROUNDS, FOLDS = 60, 40, 3
-
 
 def features(spark, sf):
     return ml.payment_features(analysis_table(spark, sf))
@@ -61,24 +58,33 @@ def logistic(spark, sf):
 
 @query("random_forest")
 def random_forest(spark, sf):
-    return _scored(spark, sf, ml.random_forest(TREES))
+    return _scored(spark, sf, ml.random_forest())
 
 
 @query("gradient_boosting")
 def gradient_boosting(spark, sf):
-    return _scored(spark, sf, ml.gradient_boosting(ROUNDS))
+    return _scored(spark, sf, ml.gradient_boosting())
 
 
 @query("soft_vote")
 def soft_vote(spark, sf):
-    return _scored(spark, sf, ml.soft_vote([ml.logistic(), ml.random_forest(TREES), ml.gradient_boosting(ROUNDS)]))
+    return _scored(spark, sf, ml.soft_vote([ml.logistic(), ml.random_forest(), ml.gradient_boosting()]))
+
+
+CANDIDATES = {"logistic": ml.logistic(), "random_forest": ml.random_forest(), "gradient_boosting": ml.gradient_boosting()}
+VOTE = "soft_vote"
+
+
+def chosen(train):
+    """Name, fit and threshold of the model with the best out-of-fold average precision."""
+    name, _, limit = ml.choose_by_cv(train, CANDIDATES, vote=VOTE)[0]
+    return name, CANDIDATES.get(name) or ml.soft_vote(list(CANDIDATES.values())), limit
 
 
 @query("choose_by_cv")
 def choose_by_cv(spark, sf):
     train, _, _ = train_test(spark, sf)
-    rows = ml.choose_by_cv(train, {"logistic": ml.logistic(), "random_forest": ml.random_forest(TREES)}, FOLDS)
-    return spark.createDataFrame(rows, "model string, cv_average_precision double, threshold double")
+    return spark.createDataFrame(ml.choose_by_cv(train, CANDIDATES, vote=VOTE), "model string, cv_average_precision double, threshold double")
 
 
 @query("permutation_importance")
@@ -89,9 +95,10 @@ def permutation_importance(spark, sf):
 
 @query("batch_predict_censored")
 def batch_predict_censored(spark, sf):
-    _, _, rows = train_test(spark, sf)
-    score = ml.logistic()(rows.where("trainable"))
-    return ml.batch_predict(rows, score, 0.5, "logistic")
+    """The chosen model, fitted anew on all known labels, and its threshold."""
+    train, _, rows = train_test(spark, sf)
+    name, fit, limit = chosen(train)
+    return ml.batch_predict(rows, fit(rows.where("trainable")), limit, name)
 
 
 @query("prediction_summary")
@@ -104,8 +111,8 @@ def mlp_vs_gbt(spark, sf):
     train, test, _ = train_test(spark, sf)
     last = train.agg(F.max("period").alias("p")).first()["p"]
     fit_rows, valid = train.where(F.col("period") < last), train.where(F.col("period") == last)
-    network, history = ml.train_network(fit_rows, valid, rounds=4)
-    boosted = ml.gradient_boosting(ROUNDS)(fit_rows)
+    network, history = ml.train_network(fit_rows, valid)
+    boosted = ml.gradient_boosting()(fit_rows)
     out = None
     for name, score in (("network", network), ("gradient boosting", boosted)):
         limit = mt.best_threshold(score(valid, "p").select("y", "p"), "y", "p").first()["threshold"]
@@ -140,26 +147,30 @@ def segment_profile(spark, sf):
 
 @query("kmeans")
 def kmeans(spark, sf):
-    data = materialize(sg.with_features(sg.standardize(materialize(profile(spark, sf)), PROFILE_COLUMNS), PROFILE_COLUMNS).select("conn_id", "features"))
-    return sg.kmeans(data, 4, restarts=3).transform(data).groupBy(F.col("prediction").alias("segment")).agg(F.count(F.lit(1)).alias("customers"))
+    """Sizes of the segments for the number of segments with the largest silhouette."""
+    rows = materialize(profile(spark, sf))
+    _, centres = sg.best_k(sg.silhouette_by_k(rows, "conn_id", PROFILE_COLUMNS))
+    labelled = sg.assign(sg.vectors(rows, "conn_id", PROFILE_COLUMNS), "x", centres)
+    return labelled.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"))
 
 
 @query("silhouette_by_k")
 def silhouette_by_k(spark, sf):
-    rows = sg.silhouette_by_k(materialize(profile(spark, sf)), "conn_id", PROFILE_COLUMNS, range(2, 6), restarts=2)
-    return spark.createDataFrame(rows, "k int, silhouette double")
+    rows = sg.silhouette_by_k(materialize(profile(spark, sf)), "conn_id", PROFILE_COLUMNS)
+    return spark.createDataFrame([r[:2] for r in rows], "k int, silhouette double")
 
 
 @query("silhouette", with_ctes(PROFILE) + """, z AS (SELECT conn_id % 3 AS s, conn_id, """ + ", ".join(
     f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in PROFILE_COLUMNS) + """ FROM profile),
-  d AS (SELECT a.conn_id, a.s, c.s AS t, sum(sqrt(""" + " + ".join(f"pow(a.{c} - c.{c}, 2)" for c in PROFILE_COLUMNS) + """)) AS d, count(*) AS n FROM z a, z c GROUP BY 1, 2, 3),
+  c AS (SELECT s AS t, count(*) AS n, """ + ", ".join(f"sum({c}) AS s_{c}, sum({c} * {c}) AS q_{c}" for c in PROFILE_COLUMNS) + """ FROM z GROUP BY 1),
+  d AS (SELECT conn_id, s, t, n, """ + " + ".join(f"n * {c} * {c} - 2 * {c} * s_{c} + q_{c}" for c in PROFILE_COLUMNS) + """ AS d FROM z, c),
   m AS (SELECT conn_id, max(d / (n - 1)) FILTER (s = t) AS a, min(d / n) FILTER (s <> t) AS b FROM d GROUP BY 1)
   SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM m""")
 def silhouette(spark, sf):
-    """Exact silhouette of a given grouping, all customers against all."""
-    z = sg.standardize(materialize(profile(spark, sf)), PROFILE_COLUMNS)
-    rows = z.select("conn_id", F.array(*PROFILE_COLUMNS).alias("x"), (F.col("conn_id") % 3).cast("int").alias("segment"))
-    return sg.silhouette(rows, "conn_id", "x", "segment", 3).withColumn("silhouette", r6("silhouette"))
+    """Silhouette of a given grouping, with squared distances; a test compares it with all pairs."""
+    z = sg.vectors(materialize(profile(spark, sf)), "conn_id", PROFILE_COLUMNS)
+    rows = z.withColumn("segment", (F.col("conn_id") % 3).cast("int"))
+    return sg.silhouette(rows, "x", "segment").withColumn("silhouette", r6("silhouette"))
 
 
 @query("pca")
@@ -167,9 +178,17 @@ def pca(spark, sf):
     return sg.pca(materialize(profile(spark, sf)), PROFILE_COLUMNS)[0].select("conn_id", "pc1", "pc2")
 
 
+@query("pca_loadings")
+def pca_loadings(spark, sf):
+    """Loadings of every variable on the first two components, and the share each component explains."""
+    _, loadings, shares = sg.pca(materialize(profile(spark, sf)), PROFILE_COLUMNS)
+    rows = [(c, *map(float, row)) for c, row in zip(PROFILE_COLUMNS, loadings)] + [("explained share", *map(float, shares))]
+    return spark.createDataFrame(rows, "variable string, pc1 double, pc2 double")
+
+
 @query("segment_table")
 def segment_table(spark, sf):
-    return sg.segment_table(materialize(profile(spark, sf)), "conn_id", PROFILE_COLUMNS, 4, restarts=2)
+    return sg.segment_table(materialize(profile(spark, sf)), "conn_id", PROFILE_COLUMNS)
 
 
 # ---------------------------------------------------------------- trained text models

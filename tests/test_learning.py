@@ -12,6 +12,7 @@ from rivulet.operators import models as ml
 from rivulet.operators import segments as sg
 from rivulet.operators import textlearn as tl
 from rivulet.operators import textmodel as tm
+from rivulet.operators import trees
 
 
 @pytest.fixture(scope="module")
@@ -91,9 +92,50 @@ def test_choose_by_cv_and_network(bills):
     assert 1 <= len(history) <= 2 and score(df, "p").where("p BETWEEN 0 AND 1").count() == df.count()
 
 
+# ---------------------------------------------------------------- trees
+def test_one_split_is_the_best_one():
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(200, 3)), rng.random(200)
+    edges = trees.edges_of(x)
+    column, limit, value, node = trees.grow(trees._binned(x, edges), -y, np.ones(200), edges, 1, 10, 0.0)
+    costs = {}
+    for j in range(3):
+        for cut in np.sort(x[:, j])[9:-10]:
+            left, right = y[x[:, j] <= cut], y[x[:, j] > cut]
+            if min(len(left), len(right)) >= 10:
+                costs[j, cut] = ((left - left.mean()) ** 2).sum() + ((right - right.mean()) ** 2).sum()
+    j, cut = min(costs, key=costs.get)
+    goes_right = x[:, column[0]] > limit[0]
+    found = sum(((y[side] - y[side].mean()) ** 2).sum() for side in (goes_right, ~goes_right))
+    assert column[0] == j and found <= costs[j, cut] * 1.02
+    np.testing.assert_allclose([value[1], value[2]], [y[~goes_right].mean(), y[goes_right].mean()])
+    assert (node == 1 + goes_right).all()
+
+
+def test_leaves_hold_enough_rows_and_scoring_follows_them():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 4))
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    edges = trees.edges_of(x)
+    column, limit, value, node = trees.grow(trees._binned(x, edges), -y, np.ones(600), edges, 6, 25, 0.0)
+    assert np.bincount(node)[np.unique(node)].min() >= 25
+    one = trees.Trees(column[None], limit[None], value[None], 0.0, 1.0, False)
+    np.testing.assert_allclose(one.probability(x), value[node])
+    boosted = trees.fit_boosted(x, y, np.ones(600), 80, 3, rate=0.2)
+    assert ((boosted.probability(x) > 0.5) == y).mean() > 0.9
+
+
+def test_a_bounded_sample_is_used_above_the_limit(spark):
+    df = spark.range(5000).selectExpr("id", "cast(id % 2 as int) AS y", "1.0 AS w", "array(cast(id as double)) AS x")
+    x, y, w = trees.labelled_sample(df, F.col("x"), "y", "w", "id", most=1000)
+    assert 800 < len(x) <= 1000 and (np.diff(x[:, 0]) > 0).all()
+    assert len(trees.labelled_sample(df, F.col("x"), "y", "w", "id")[0]) == 5000
+
+
 # ---------------------------------------------------------------- segmentation
 def brute_silhouette(x, label):
-    d = np.sqrt(((x[:, None] - x) ** 2).sum(-1))
+    """Squared distances, every row against every other."""
+    d = ((x[:, None] - x) ** 2).sum(-1)
     out = []
     for i in range(len(x)):
         own = label == label[i]
@@ -106,16 +148,27 @@ def brute_silhouette(x, label):
     return np.mean(out)
 
 
-@pytest.mark.parametrize("block", [10_000, 60])
-def test_silhouette(spark, block):
+def test_silhouette(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(200, 3))
     label = rng.integers(0, 3, 200)
     label[0] = 3  # alone in its cluster
     df = spark.createDataFrame([(i, v, int(c)) for i, (v, c) in enumerate(zip(x.tolist(), label))], "id int, x array<double>, s int")
-    rows = sg.cluster_distance_sums(df, "id", "x", "s", 4, block)
-    assert rows.count() == 200
-    assert abs(sg.silhouette(df, "id", "x", "s", 4, block).first().silhouette - brute_silhouette(x, label)) < 1e-6
+    assert abs(sg.silhouette(df, "x", "s").first().silhouette - brute_silhouette(x, label)) < 1e-9
+
+
+def test_kmeans_ends_in_a_fixed_point_and_finds_the_number(spark):
+    rng = np.random.default_rng(12)
+    corners = np.array([[0, 0], [9, 0], [0, 9]])
+    x = np.concatenate([c + rng.normal(size=(60, 2)) for c in corners])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id int, x array<double>").repartition(3)
+    found = sg.kmeans(df, "id", "x", range(2, 6), restarts=4)
+    assert {k: len(c) for k, c in found.items()} == {k: k for k in range(2, 6)}
+    rows = [(k, sg.silhouette(sg.assign(df, "x", c), "x", "segment").first()["silhouette"], c) for k, c in found.items()]
+    k, centres = sg.best_k(rows)
+    own = ((x[:, None] - centres) ** 2).sum(-1).argmin(1)
+    assert k == 3 and all(np.allclose(centres[j], x[own == j].mean(0), atol=0.05) for j in range(3))
+    assert [r["segment"] for r in sg.assign(df, "x", centres).orderBy("id").collect()] == own.tolist()
 
 
 def test_pca_matches_numpy(spark):
@@ -180,7 +233,7 @@ def test_unknown_words_use_the_intercept(spark, texts):
 
 def test_lsa_matches_svd(texts):
     vectors = tl.TextVectors(texts, "id", "text", 1)
-    latent = tl.LatentVectors(vectors, components=3, iterations=12)
+    latent = tl.LatentVectors(vectors, components=3)
     rows = vectors.train.orderBy("id").select("terms", "weights").collect()
     a = np.zeros((len(rows), vectors.size))
     for i, r in enumerate(rows):
@@ -190,5 +243,4 @@ def test_lsa_matches_svd(texts):
     got = np.array([r.unit for r in latent.transform(vectors.train).orderBy("id").select("unit").collect()])
     want = u[:, :3] * s[:3]
     want /= np.linalg.norm(want, axis=1, keepdims=True)
-    np.testing.assert_allclose(np.abs((got * want).sum(1)) > 0, True)
-    np.testing.assert_allclose(got @ got.T, want @ want.T, atol=0.05)
+    np.testing.assert_allclose(got @ got.T, want @ want.T, atol=0.01)
