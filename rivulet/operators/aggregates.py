@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.operators.ranks import exact_quantiles, pick_quantiles, value_counts
-from rivulet.session import broadcast_if_small, materialize
+from rivulet.session import materialize
 
 
 def one(df: DataFrame, column: str) -> Column:
@@ -21,7 +21,7 @@ def box_stats(df: DataFrame, value: str, group: str, max_outliers: int = 50) ->
     box = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group])
     box = box.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
         "_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    rows = df.where(F.col(value).isNotNull()).join(broadcast_if_small(box.select(group, "_lo", "_hi")), group)
+    rows = df.where(F.col(value).isNotNull()).join(box.select(group, "_lo", "_hi"), group)
     inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
     whiskers = rows.where(inside).groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"))
     outliers = value_counts(rows.where(~inside), value, [group])
@@ -44,7 +44,7 @@ def outlier_fence(df: DataFrame, value: str, group: str, width: float = 3.0) ->
     """Rows above Q3 + ``width`` IQR per group."""
     box = exact_quantiles(df, value, {"q1": 0.25, "q3": 0.75}, [group])
     fence = box.select(group, (F.col("q3") + width * (F.col("q3") - F.col("q1"))).alias("fence"))
-    return df.join(broadcast_if_small(fence), group).groupBy(group).agg(
+    return df.join(fence, group).groupBy(group).agg(
         F.max("fence").alias("fence"), F.count_if(F.col(value) > F.col("fence")).alias("outliers"))
 
 

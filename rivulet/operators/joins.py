@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.session import broadcast_if_small
-
 
 def unique_side(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with one row per key; a repeated key fails the job when the row is used.
@@ -41,30 +39,31 @@ def join_one_to_one(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     )
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, share: float = 1e-4) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: by their definition at most 1 / share of them."""
-    total = counts.agg(F.sum(n).alias("t")).select("t").scalar()
-    return counts.where(F.col(n) >= F.greatest(total * F.lit(share), F.lit(1000))).select(key)
+#: Rows of one key that one task may take in a join.
+ROWS_PER_TASK = 200_000
+
+
+def hot_keys(counts: DataFrame, key: str, n: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, _salts): keys with more rows than one task should take, and into how many parts each is split."""
+    return counts.where(F.col(n) > rows_per_task).select(key, F.ceil(F.col(n) / rows_per_task).cast("int").alias("_salts"))
 
 
-def salted_join(big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, spread: Column, salts: int = 64) -> DataFrame:
-    """Inner join on ``key`` in which the rows of hot keys are split ``salts`` ways by a hash of ``spread``.
+def salted_join(big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, spread: Column) -> DataFrame:
+    """Inner join on ``key`` in which the rows of a hot key are split, by a hash of ``spread``, into as many parts as ``hot_keys`` says.
 
-    Only the lookup rows of hot keys are repeated; every other key joins as usual.
-    ``hot`` comes from ``hot_keys``, whose bound makes its broadcast safe.
+    Only the lookup rows of hot keys are repeated; every other key joins as usual. ``hot`` has one
+    row per so many rows of ``big`` at most, so the optimizer may choose how to join it by its size.
     """
-    marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    chosen = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
-    left = big.join(marks, key, "left").withColumn("_salt", chosen).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    left = big.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     # the lookup has one row per key and salt, so its hash tables are even and nothing needs sorting
     return left.join(right.hint("shuffle_hash"), [key, "_salt"]).drop("_salt")
 
 
 def lookup_broadcast(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
-    """Left lookup join; broadcast only when the lookup is counted to be small."""
-    return df.join(broadcast_if_small(lookup), on, "left")
+    """Left lookup join; the lookup is broadcast if its size, as measured while the query runs, is below the session's limit."""
+    return df.join(lookup, on, "left")
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

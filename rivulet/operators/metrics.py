@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.operators.ranks import exact_quantiles, running_totals
-from rivulet.session import broadcast_if_small
 
 # Threshold grids.
 BEST_GRID = tuple(round(0.1 + 0.01 * i, 2) for i in range(81))

@@ -1,38 +1,33 @@
 """Exact ranks, running totals and quantiles of unbounded groups without a single-task sort.
 
-A column is first reduced to its distinct values per group. These are spread over
-range buckets whose edges come from an approximate sketch; the totals of the buckets
-(a few hundred numbers per group) give each bucket its offset, and a window inside one
-bucket finishes the exact running total. The sketch only balances the buckets: any
-edges give the same result. Distinct values and edges are materialised, so the source
-is read once and a recomputed task sees the same numbers.
+A column is first reduced to its distinct values per group. Many of them are dealt out by range of
+(group, value), as many buckets as their count asks for; the totals of the buckets give each bucket
+its offset, and a window inside one bucket finishes the exact running total. Any cut between buckets
+gives the same result. Distinct values and buckets are materialised, so the source is read once and a
+recomputed task sees the same numbers.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.session import materialize, shuffle_buckets
+from rivulet.session import materialize
+
+
+#: Distinct values of a bucket, which one window sorts.
+BUCKET_VALUES = 100_000
 
 
 def _with_bucket(counts: DataFrame, value: str, groups: list[str]) -> DataFrame:
-    """Add ``_bucket``: how many of the group's edges lie below the value."""
-    n = shuffle_buckets(counts.sparkSession)
-    sketch = F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n).alias("_edges")
-    if not groups:
-        edges = sorted(set(counts.agg(sketch).first()["_edges"] or []))
-        return counts.withColumn("_bucket", F.size(F.filter(F.lit(edges), lambda e: e < F.col(value))) if edges else F.lit(0))
-    edges = materialize(counts.groupBy(*groups).agg(sketch))
-    edges = edges.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_edges")
-    same = reduce(lambda a, c: a & c, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups])
-    return (
-        counts.join(edges, same)
-        .withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(value))))
-        .drop("_edges", *[f"_g_{g}" for g in groups])
-    )
+    """Add ``_bucket``: the number of the range the (group, value) falls into."""
+    n = math.ceil(counts.count() / BUCKET_VALUES)
+    if n <= 1:
+        return counts.withColumn("_bucket", F.lit(0))
+    return materialize(counts.repartitionByRange(n, *groups, value).withColumn("_bucket", F.spark_partition_id()))
 
 
 def running_totals(

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.session import broadcast_if_small
 
 # Tariff names, rates and quarter switch the results depend on.
 TARIFF_OF_CUSTOMER = {
@@ -57,8 +56,8 @@ def water_amount(bills: DataFrame, table: DataFrame, *, tariff: str, m3: str, qu
     unknown = F.raise_error(F.concat(F.lit("no tariff "), F.col(tariff), F.lit(" in "), F.col(quarter)))
     return (
         bills.withColumn("_m3", round_half_up_int(F.col(m3)))
-        .join(broadcast_if_small(exact), [quarter, tariff, "_m3"], "left")
-        .join(broadcast_if_small(top), [quarter, tariff], "left")
+        .join(exact, [quarter, tariff, "_m3"], "left")
+        .join(top, [quarter, tariff], "left")
         .withColumn(out, F.coalesce("_exact", "_top", unknown.cast(MONEY)))
         .withColumnRenamed("_m3", "billed_m3")
         .drop("_exact", "_top")

@@ -1,4 +1,4 @@
-"""Session settings, reliable materialisation and size-checked broadcast."""
+"""Session settings and reliable materialisation."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows above which a lookup side is left to the optimizer instead of being broadcast.
-BROADCAST_ROWS = 200_000
-
 
 def local_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
     """Session for tests and the benchmark; on a cluster the caller brings its own."""
@@ -66,17 +61,3 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` is counted to at most ``max_rows`` rows.
-
-    Above the bound the frame comes back without a hint, so the join is planned
-    as a shuffle join. The count stops at ``max_rows + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def shuffle_buckets(spark: SparkSession, least: int = 8, most: int = 512) -> int:
-    """Number of range buckets for ordered work: follows the session's shuffle width."""
-    return max(least, min(most, int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -105,3 +105,13 @@ def test_missing_column_is_an_error(spark):
 def test_hidden_columns_go(spark):
     rows = spark.createDataFrame([(1, 2.0, 3.0)], "id int, consumo_base double, propension_mora double")
     assert cl.drop_hidden(rows).columns == ["id"]
+
+
+def test_hot_keys_are_split_by_their_rows(spark):
+    big = spark.range(1000).selectExpr("CASE WHEN id < 700 THEN 'hot' ELSE concat('k', id % 30) END AS k", "id")
+    counts = big.groupBy("k").count()
+    hot = jn.hot_keys(counts, "k", "count", rows_per_task=100)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 7)]
+    lookup = counts.selectExpr("k", "length(k) AS size")
+    joined = jn.salted_join(big, lookup, "k", hot, F.col("id"))
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, big.join(lookup, "k").collect()))

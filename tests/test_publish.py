@@ -3,7 +3,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rivulet.operators import publish as pb
-from rivulet.session import broadcast_if_small
 
 
 def test_payload_without_source_is_an_error(spark):
@@ -35,10 +34,3 @@ def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "x,y")], "id int, t string")
     paths = pb.write_tables({"t": df}, str(tmp_path), "csv")
     assert spark.read.schema(df.schema).csv(paths["t"], header=True).collect() == df.collect()
-
-
-def test_broadcast_only_below_the_bound(spark):
-    big = spark.range(100)
-    assert "Broadcast" in big.join(broadcast_if_small(spark.range(50), 50), "id")._jdf.queryExecution().toString()
-    hinted = broadcast_if_small(spark.range(51), 50)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in hinted

@@ -144,3 +144,10 @@ def test_nearest_rank_latency(spark):
     r = latency_percentiles(df, "ms", {"p50": 0.5, "p95": 0.95}).first()
     s = sorted(values)
     assert (r.p50, r.p95) == tuple(s[min(7, round(q * 7))] for q in (0.5, 0.95))
+
+
+def test_many_buckets_give_the_same(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("id % 3 AS g", "cast(id * 7919 % 1000 as double) AS v")
+    few = sorted(map(tuple, rk.value_counts(rows, "v", ["g"]).collect()))
+    monkeypatch.setattr(rk, "BUCKET_VALUES", 150)
+    assert sorted(map(tuple, rk.value_counts(rows, "v", ["g"]).collect())) == few
