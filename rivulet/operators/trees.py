@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.session import share
+
 FIT_ROWS = 100_000
 BINS = 127
 
@@ -182,7 +184,7 @@ def fit_in_tasks(df: DataFrame, x: np.ndarray, y: np.ndarray, w: np.ndarray, *,
 
 def score(df: DataFrame, trees: Trees, features: Column, out: str) -> DataFrame:
     """``df`` with the probability of label 1."""
-    shared = df.sparkSession.sparkContext.broadcast(trees)
+    shared = share(df.sparkSession, trees)
 
     @F.pandas_udf("double")
     def probability(x: pd.Series) -> pd.Series:

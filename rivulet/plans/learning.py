@@ -199,26 +199,31 @@ def text_parts(spark, sf):
     return parts.where(~F.col("is_test")).drop("is_test"), parts.where("is_test").drop("is_test")
 
 
-GRID = {"folds": 3, "ngrams": (1,), "penalties": (1.0, 3.0), "max_iter": 15}
+def trained(spark, sf):
+    """The classifier the whole grid search chooses, and the test texts."""
+    train, test = text_parts(spark, sf)
+    return *tl.train_text_classifier(train, "doc_id", "text", "lang"), test
 
 
 @query("train_text_classifier")
 def train_text_classifier(spark, sf):
     """Test texts with the class the chosen model gives them."""
-    train, test = text_parts(spark, sf)
-    vectors, model, classes, _ = tl.train_text_classifier(train, "doc_id", "text", "lang", **GRID)
+    vectors, model, classes, _, test = trained(spark, sf)
     return tl.predict(model, vectors.transform(test), vectors.size, classes, "guess").select("doc_id", "lang", "guess")
 
 
+@query("text_classifier_grid")
+def text_classifier_grid(spark, sf):
+    """Every point of the grid with the mean and the spread of its macro F1 over the folds."""
+    return spark.createDataFrame(trained(spark, sf)[3], "ngrams int, c double, mean_f1 double, sd_f1 double")
+
+
 @query("export_model")
 def export_model(spark, sf):
-    """The trained model as tables, and the test texts scored from the tables alone."""
-    train, test = text_parts(spark, sf)
-    vectors = tl.TextVectors(train, "doc_id", "text", 1)
-    classes = [r["lang"] for r in train.select("lang").distinct().orderBy("lang").collect()]
-    model = tl.fit_classifier(materialize(vectors.train), vectors.size, "lang", classes, 1.0, 30)
+    """The chosen model as tables, and the test texts scored from the tables alone."""
+    vectors, model, classes, _, test = trained(spark, sf)
     tables = tl.export_model(vectors, model, classes, "lang")
-    return tm.score_with_model(test, "doc_id", "text", tables["idf"], tables["weights"], tables["intercepts"], "lang", 1)
+    return tm.score_with_model(test, "doc_id", "text", tables["idf"], tables["weights"], tables["intercepts"], "lang", vectors.n)
 
 
 @query("lsa")

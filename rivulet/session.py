@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -54,6 +56,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast value that executors can read without a copy of this package; it is loaded once per task."""
+
+    def __init__(self, data: Broadcast):
+        self.data = data
+
+    @property
+    def value(self):
+        if not hasattr(self, "_value"):
+            self._value = pickle.loads(self.data.value)
+        return self._value
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
+
+
+def share(spark: SparkSession, value) -> Shared:
+    """Broadcast a value that holds objects of this package."""
+    return Shared(spark.sparkContext.broadcast(cloudpickle.dumps(value)))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a table of fewer partitions than cores one partition per core, before work that reads it many times.
 

@@ -189,6 +189,21 @@ def test_segment_names(spark):
 
 
 # ---------------------------------------------------------------- text models
+def test_linear_fit_has_no_slope_left():
+    rng = np.random.default_rng(31)
+    n, size, classes, c = 120, 15, 3, 2.0
+    dense = rng.random((n, size)) * (rng.random((n, size)) < 0.3)
+    label = rng.integers(0, classes, n)
+    rows, terms = np.nonzero(dense)
+    model = tl.fit_linear(rows, terms, dense[rows, terms], label, classes, size, c, 300)
+    z = dense @ model.weights + model.intercepts
+    np.testing.assert_allclose(model.logits(rows, terms, dense[rows, terms], n), z)
+    p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    w = (n / (classes * np.bincount(label)))[label]
+    rest = w[:, None] * (p - np.eye(classes)[label]) / w.sum()
+    assert np.abs(dense.T @ rest + model.weights / (c * n)).max() < 2e-5 and np.abs(rest.sum(0)).max() < 2e-5
+
+
 WORDS = {"agua": ["fuga", "agua", "tubo", "calle", "charco"], "cobro": ["recibo", "cobro", "pago", "tarifa", "caro"]}
 
 
