@@ -45,7 +45,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens, and whether the ids decode to the very text."""
     vocabulary = pieces.Vocabulary.load(MODEL_FILE)
-    found = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary), vocabulary)
+    found = pieces.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), vocabulary)
     return found.select("doc_id", "lang", "source", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
                         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rivulet.llm.components import components
-from rivulet.llm.textblocks import bound_batches, flat_bytes, hash_words, mix, runs, strings
+from rivulet.llm.textblocks import bound_batches, flat_bytes, hash_words, lean, mix, runs, strings
 from rivulet.session import materialize
 
 WORDS, THRESHOLD = 5, 0.8
@@ -103,7 +103,7 @@ def _sets(documents: DataFrame, key: str, text: str, words: int) -> DataFrame:
                  pa.array([blob[i * width:(i + 1) * width] for i in range(batch.num_rows)], pa.binary())], ["key", "th", "copy", "n", "signature"])
 
     source = documents.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, f"key {kind}, th bigint, copy binary, n bigint, signature binary")
+    return source.mapInArrow(lean(run), f"key {kind}, th bigint, copy binary, n bigint, signature binary")
 
 
 def _trie_edges(representatives: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def _trie_edges(representatives: DataFrame) -> DataFrame:
             [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(depth, pa.int32()), pa.array(path, pa.binary())], ["a", "b", "depth", "path"])
 
     found = materialize(
-        trees.repartitionByRange(parts, "path", "copy").sortWithinPartitions("path", "copy").mapInArrow(run, "a binary, b binary, depth int, path binary"))
+        trees.repartitionByRange(parts, "path", "copy").sortWithinPartitions("path", "copy").mapInArrow(lean(run), "a binary, b binary, depth int, path binary"))
     order = Window.orderBy("path", "a")  # two rows per partition
     ends = found.where("depth = -1").select("a", "path", F.lag("a").over(order).alias("b"), F.lag("path").over(order).alias("before"))
     common = sum((F.when(F.substring("path", 1, 2 + 4 * k) == F.substring("before", 1, 2 + 4 * k), 1).otherwise(0)
@@ -243,7 +243,7 @@ def _linked(grouped: DataFrame, threshold: float, depth: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["copy", "root", "links", "expected", "blocks"])
 
     ordered = grouped.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "side", "copy")
-    return ordered.mapInArrow(run, "copy binary, root binary, links double, expected double, blocks bigint")
+    return ordered.mapInArrow(lean(run), "copy binary, root binary, links double, expected double, blocks bigint")
 
 
 def _members(documents: DataFrame, key: str, text: str, words: int, chosen: DataFrame) -> DataFrame:
@@ -263,7 +263,7 @@ def _members(documents: DataFrame, key: str, text: str, words: int, chosen: Data
             out = pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in more], pa.array(raw, pa.binary())], [*[f.name for f in more], "hashes"])
             yield out.filter(pa.array(good, pa.bool_()))
 
-    return joined.mapInArrow(run, f"{fields}, hashes binary").dropDuplicates(["copy"])
+    return joined.mapInArrow(lean(run), f"{fields}, hashes binary").dropDuplicates(["copy"])
 
 
 def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD,

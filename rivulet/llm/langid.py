@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.textblocks import LETTERS, bound_batches, flat_bytes, mix, words_of
+from rivulet.llm.textblocks import LETTERS, bound_batches, flat_bytes, lean, mix, words_of
 
 BITS = 17
 GRAMS = (2, 3, 4, 5)
@@ -197,4 +197,4 @@ def predict(documents: DataFrame, model: LanguageModel, *, text: str = "text", p
                 [*columns, pa.array(pred, pa.string()), pa.array(score), pa.array(accepted)], [*[f.name for f in kept], *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return source.mapInArrow(run, f"{fields}, {names[0]} string, {names[1]} double, {names[2]} boolean")
+    return source.mapInArrow(lean(run), f"{fields}, {names[0]} string, {names[1]} double, {names[2]} boolean")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.textblocks import bound_batches
+from rivulet.llm.textblocks import bound_batches, lean
 
 Q = 8
 SEGMENT, STRIDE, EDIT_RATE = 96, 48, 0.1
@@ -212,11 +212,17 @@ def mark(documents: DataFrame, items: DataFrame, *, text: str = "text", item_key
             block = shared.value
             some = block.filter_table()
             for batch in batches:
-                raw = [t or "" for t in batch.column(text).to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
-                found = {}
-                for t, i, distance, end in find(block, some, characters("".join(raw)), offsets) if len(raw) else []:
-                    found.setdefault(t, {}).setdefault(i, []).append((distance, end))
+                raw, found, a = batch.column(text).to_pylist(), {}, 0
+                while a < len(raw):  # texts of about PART characters at a time
+                    b, size = a, 0
+                    while b < len(raw) and (b == a or size < PART):
+                        size += len(raw[b] or "")
+                        b += 1
+                    part = [t or "" for t in raw[a:b]]
+                    offsets = np.concatenate([[0], np.cumsum([len(t) for t in part])]).astype(np.int64)
+                    for t, i, distance, end in find(block, some, characters("".join(part)), offsets):
+                        found.setdefault(a + t, {}).setdefault(i, []).append((distance, end))
+                    a = b
                 new = [[*old, *[{"item": block.items[i], "distance": min(x)[0], "end": min(x)[1]} for i, x in sorted(found.get(t, {}).items())]]
                        for t, old in enumerate(batch.column(hits).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
@@ -227,5 +233,5 @@ def mark(documents: DataFrame, items: DataFrame, *, text: str = "text", item_key
     for rows in _blocks(items, item_key, item_text):
         block = Segments.build(rows, q, segment, stride, edit_rate)
         if block.codes:
-            df = df.mapInArrow(scan(spark.sparkContext.broadcast(block)), f"{fields}, `{hits}` {HITS}")
+            df = df.mapInArrow(lean(scan(spark.sparkContext.broadcast(block))), f"{fields}, `{hits}` {HITS}")
     return df

@@ -24,14 +24,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rivulet.llm.textblocks import bound_batches, flat_bytes, strings
+from rivulet.llm.textblocks import bound_batches, flat_bytes, lean, strings
 
 MARK = "▁"
 TAKEN = 0x110000  # stands for a mark that is part of a text
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CELLS = 200_000  # characters of a matrix
 WINDOW = 8_192  # positions whose matches are held at once
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 NO_PATH = -1e300
 
 
@@ -265,29 +265,45 @@ class Decoder:
         return pc.if_else(pa.array(null), pa.scalar(None, text.type), text)
 
 
-def _with_column(df: DataFrame, source: str, target: str, kind: str, make, vocabulary: Vocabulary) -> DataFrame:
+def _with_columns(df: DataFrame, source: str, targets: dict[str, str], make, vocabulary: Vocabulary) -> DataFrame:
+    """``df`` with the named columns, of which ``make(vocabulary)`` gives the values for a batch of ``source``."""
     spark = df.sparkSession
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    df = df.select(*[c for c in df.columns if c != target or c == source])
-    kept = [f for f in df.schema.fields if f.name != target]
-    out_type = pa.list_(pa.int32()) if kind.startswith("array") else pa.string()
+    df = df.select(*[c for c in df.columns if c not in targets or c == source])
+    kept = [f for f in df.schema.fields if f.name not in targets]
+    types = [pa.list_(pa.int32()) if kind.startswith("array") else pa.string() for kind in targets.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make(shared.value)
         for batch in batches:
-            new = work(batch.column(source)).cast(out_type)
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], new], [*[f.name for f in kept], target])
+            new = [x.cast(t) for x, t in zip(work(batch.column(source)), types)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *new], [*[f.name for f in kept], *targets])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return df.mapInArrow(run, f"{fields}, `{target}` {kind}")
+    fields = ", ".join(f"`{n}` {k}" for n, k in [*[(f.name, f.dataType.simpleString()) for f in kept], *targets.items()])
+    return df.mapInArrow(lean(run), fields)
 
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the piece ids of every whole text."""
-    return _with_column(df, text, ids, "array<int>", lambda v: Encoder(v).encode, vocabulary)
+    return _with_columns(df, text, {ids: "array<int>"}, lambda v: lambda x, e=Encoder(v): [e.encode(x)], vocabulary)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text that the ids spell."""
-    return _with_column(df, ids, text, "string", lambda v: Decoder(v).decode, vocabulary)
+    return _with_columns(df, ids, {text: "string"}, lambda v: lambda x, d=Decoder(v): [d.decode(x)], vocabulary)
+
+
+def encode_and_decode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the ids of every text and what they decode to, in one pass."""
+
+    def make(v: Vocabulary):
+        encoder, decoder = Encoder(v), Decoder(v)
+
+        def work(x: pa.Array) -> list[pa.Array]:
+            coded = encoder.encode(x)
+            return [coded, decoder.decode(coded)]
+
+        return work
+
+    return _with_columns(df, text, {ids: "array<int>", decoded: "string"}, make, vocabulary)

@@ -34,10 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from rivulet.llm.textblocks import bound_batches, flat_bytes, hash_words, mix, runs, strings
+from rivulet.llm.textblocks import bound_batches, flat_bytes, hash_words, lean, mix, runs, strings
 from rivulet.session import materialize, shared_folder
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 #: Packed entries of a bucket; the number of buckets follows from the number of entries.
 BUCKET_ENTRIES = 1_500_000
 STRENGTH, PARENT_STRENGTH = 1.0, 1.0
@@ -210,7 +210,7 @@ def _blocks(documents: DataFrame, key: str, text: str, held_out: Column, buckets
              pa.array([pack_strings(words)], pa.binary()), pa.array([pack(counts)], pa.binary()), pa.array([len(words)]), pa.array([distinct])], names)
 
     names = ["block", "keys", "lengths", "tokens", "words", "counts", "n_words", "n_pairs"]
-    made = source.mapInArrow(run, "block bigint, keys binary, lengths binary, tokens binary, words binary, counts binary, n_words bigint, n_pairs bigint")
+    made = source.mapInArrow(lean(run), "block bigint, keys binary, lengths binary, tokens binary, words binary, counts binary, n_words bigint, n_pairs bigint")
     name = f"blocks_{uuid.uuid4().hex}"
     made.write.format("parquet").option("path", f"{shared_folder(documents.sparkSession)}/{name}").bucketBy(buckets, "block").saveAsTable(name)
     return documents.sparkSession.table(name)

@@ -15,7 +15,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 def op9_sentencepiece(spark: SparkSession, sf: str, model_file: str = MODEL_FILE) -> DataFrame:
     vocabulary = pieces.Vocabulary.load(model_file)
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    found = pieces.decode(pieces.encode(documents, vocabulary), vocabulary)
+    found = pieces.encode_and_decode(documents, vocabulary)
     return found.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.coalesce("ids", F.array().cast("array<int>")).cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 #: Bytes of an Arrow batch sent to a Python worker; a single longer row still travels whole.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -18,6 +22,20 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a task that gives its memory back when it ends: workers live on, and idle ones must stay small."""
+
+    def task(batches: Iterator) -> Iterator:
+        pa.set_memory_pool(pa.system_memory_pool())
+        yield from run(batches)
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim is not None:
+            trim(0)
+
+    return task
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts joined, and the offsets of each (one more than texts); null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.textblocks import bound_batches, hash_words, mix, words_of
+from rivulet.llm.textblocks import bound_batches, hash_words, lean, mix, words_of
 
 BITS = 22
 #: Bounds of the fitting sample: texts per class, characters of a text.
@@ -148,4 +148,4 @@ def predict(documents: DataFrame, model: ToxicityModel, *, text: str = "text", p
                 [*columns, pa.array(p, pa.float64()), pa.array(p >= 0.5).cast(pa.int32())], [*[f.name for f in kept], *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return source.mapInArrow(run, f"{fields}, {names[0]} double, {names[1]} int")
+    return source.mapInArrow(lean(run), f"{fields}, {names[0]} double, {names[1]} int")

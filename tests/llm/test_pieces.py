@@ -72,6 +72,7 @@ def test_rows_of_every_kind(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(r[0]), r[1]) for r in rows)
     assert all(r["decoded"] == r["text"] for r in got)
     assert [r["ids"] for r in got if r["doc_id"] in (1, 2)] == [None, []]
+    assert sorted(map(str, pieces.encode_and_decode(df, VOCABULARY).collect())) == sorted(map(str, got))
     assert pieces.encode(df.limit(0), VOCABULARY).count() == 0
 
 
