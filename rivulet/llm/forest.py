@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rivulet.llm.textblocks import bound_batches
-from rivulet.session import materialize
+from rivulet.session import materialize, share
 
 TREES, LEAF = 4, 128
 SAMPLE_ROWS = 32_768
@@ -186,7 +186,7 @@ def _some(df: DataFrame, rows: int, total: int) -> DataFrame:
 
 def _scan(base: DataFrame, trial: pa.Table, forest: Forest, k: int) -> pa.Table:
     """True neighbours of a bounded set of queries, with their leaves: query (place), id, score, leaves."""
-    shared = base.sparkSession.sparkContext.broadcast((forest, _matrix(trial["vector"].combine_chunks())))
+    shared = share(base.sparkSession, (forest, _matrix(trial["vector"].combine_chunks())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, vectors = shared.value
@@ -265,7 +265,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, *, key: str = "vec_i
     if trial.num_rows:
         truth = _scan(base, trial, forest, k + 1)
         opened, recall = leaves_to_open(forest, _matrix(trial["vector"].combine_chunks()), trial["id"].to_numpy(), truth, target_recall)
-    shared = spark.sparkContext.broadcast(forest)
+    shared = share(spark, forest)
     groups, blocks = math.ceil(total / GROUP_ROWS), math.ceil(n_queries / BLOCK_QUERIES)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.textblocks import LETTERS, bound_batches, flat_bytes, lean, mix, words_of
+from rivulet.session import share
 
 BITS = 17
 GRAMS = (2, 3, 4, 5)
@@ -175,7 +176,7 @@ def predict(documents: DataFrame, model: LanguageModel, *, text: str = "text", p
     """``documents`` with prefix + pred, score and accepted; columns of these names are replaced."""
     spark = documents.sparkSession
     bound_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
     names = [f"{prefix}{x}" for x in ("pred", "score", "accepted")]
     source = documents.drop(*names).withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     kept = [f for f in source.schema.fields if f.name != "_letters"]

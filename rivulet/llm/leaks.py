@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.textblocks import bound_batches, lean
+from rivulet.session import share
 
 Q = 8
 SEGMENT, STRIDE, EDIT_RATE = 96, 48, 0.1
@@ -233,5 +234,5 @@ def mark(documents: DataFrame, items: DataFrame, *, text: str = "text", item_key
     for rows in _blocks(items, item_key, item_text):
         block = Segments.build(rows, q, segment, stride, edit_rate)
         if block.codes:
-            df = df.mapInArrow(lean(scan(spark.sparkContext.broadcast(block))), f"{fields}, `{hits}` {HITS}")
+            df = df.mapInArrow(lean(scan(share(spark, block))), f"{fields}, `{hits}` {HITS}")
     return df

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from rivulet.llm.textblocks import bound_batches, flat_bytes, lean, strings
+from rivulet.session import share
 
 MARK = "▁"
 TAKEN = 0x110000  # stands for a mark that is part of a text
@@ -269,7 +270,7 @@ def _with_columns(df: DataFrame, source: str, targets: dict[str, str], make, voc
     """``df`` with the named columns, of which ``make(vocabulary)`` gives the values for a batch of ``source``."""
     spark = df.sparkSession
     bound_batches(spark)
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = share(spark, vocabulary)
     df = df.select(*[c for c in df.columns if c not in targets or c == source])
     kept = [f for f in df.schema.fields if f.name not in targets]
     types = [pa.list_(pa.int32()) if kind.startswith("array") else pa.string() for kind in targets.values()]

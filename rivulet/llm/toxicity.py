@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.textblocks import bound_batches, hash_words, lean, mix, words_of
+from rivulet.session import share
 
 BITS = 22
 #: Bounds of the fitting sample: texts per class, characters of a text.
@@ -133,7 +134,7 @@ def predict(documents: DataFrame, model: ToxicityModel, *, text: str = "text", p
     """``documents`` with prefix + score and predicted; columns of these names are replaced."""
     spark = documents.sparkSession
     bound_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
     names = [f"{prefix}score", f"{prefix}predicted"]
     source = documents.drop(*names)
     kept = source.schema.fields
