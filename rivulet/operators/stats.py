@@ -84,8 +84,12 @@ def spearman_matrix(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def spearman_p(out: DataFrame) -> DataFrame:
-    t = F.col("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") * F.col("rho")))
-    return out.withColumn("p_value", t_sf2(t, (F.col("n") - 2).cast("double")))
+    """Add ``p_value``; a perfect rank correlation has 0, and up to two rows have none."""
+    free = (F.col("n") - 2).cast("double")
+    rest = F.nullif(F.greatest(F.lit(0.0), 1 - F.col("rho") * F.col("rho")), F.lit(0.0))
+    t = F.when(free > 0, F.col("rho") * F.sqrt(free / rest))
+    p = t_sf2(F.coalesce(t, F.lit(0.0)), F.greatest(free, F.lit(1.0)))
+    return out.withColumn("p_value", F.when(free <= 0, F.lit(None).cast("double")).when(rest.isNull(), 0.0).otherwise(p))
 
 
 def strongest_with(out: DataFrame, target: str) -> DataFrame:

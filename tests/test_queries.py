@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rivulet.plans import ORACLES, QUERIES
 from tools.check import TABLES, rows_sorted
 
 SF = "/root/testdata/sf0.001"
@@ -34,3 +35,17 @@ def test_entry_has_rows(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+#: Fits that take minutes; tests/test_learning.py tests their operators.
+LONG = {"choose_by_cv", "soft_vote", "batch_predict_censored", "prediction_summary", "mlp_vs_gbt", "permutation_importance", "gradient_boosting",
+        "random_forest", "train_text_classifier", "text_classifier_grid", "export_model", "silhouette_by_k", "segment_table", "lsa"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - LONG))
+def test_runs_as_registered(spark, name):
+    """Queries without SQL run to the end, with rows, and without a value that is not a number."""
+    df = entry.queries()[name](spark, SF)
+    rows = df.collect()
+    assert rows and len(set(df.columns)) == len(df.columns)
+    assert not any(isinstance(v, float) and v != v for r in rows for v in r)
