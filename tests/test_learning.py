@@ -1,6 +1,7 @@
 """Models, segmentation and trained text models against NumPy or their own rules."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -246,6 +247,37 @@ def test_unknown_words_use_the_intercept(spark, texts):
     assert len(out) == 2 and not any(r.known for r in out)
 
 
+def test_only_terms_of_the_fitting_texts_have_weights(texts):
+    vectors = tl.TextVectors(texts, "id", "text", 2)
+    classes = ["agua", "cobro"]
+    model = tl.fit_classifiers(vectors.train, vectors.size, "c", classes, [1.0], 40, most=60)[1.0]
+    weights = {r["index"]: r["w"] for r in model.weights.collect()}
+    rows = vectors.train.orderBy("id").select("id", "c", "terms", "weights").toPandas()
+    chosen = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(0.97 * 60 / len(rows) * 1_000_000)
+    fitted = rows[rows.id.isin([r["id"] for r in vectors.train.where(chosen).collect()])]
+    assert 20 < len(fitted) <= 60 and {i for t in fitted.terms for i in t} == set(weights) and len(weights) < vectors.size
+    label = fitted.c.map({c: i for i, c in enumerate(classes)}).to_numpy()
+    full = tl.fit_linear(*tl.entries_of(fitted), label, 2, vectors.size, 1.0, 40)
+    for i, w in enumerate(full.weights):
+        np.testing.assert_allclose(weights.get(i, [0.0, 0.0]), w, atol=1e-9)
+    z = full.logits(*tl.entries_of(rows), len(rows))
+    got = tl.predict(model, vectors.train, vectors.size, classes, "guess").orderBy("id").toPandas().guess
+    assert got.tolist() == [classes[i] for i in z.argmax(axis=1)]
+    exported = tl.export_model(vectors, model, classes, "c")["weights"].toPandas()
+    assert len(exported) == 2 * vectors.size and (exported.weight != 0).sum() <= 2 * len(weights)
+
+
+def test_linear_fit_holds_no_copies_of_the_weights():
+    rng = np.random.default_rng(5)
+    n, classes, size = 30, 4, 100_000
+    rows, terms = np.repeat(np.arange(n), 50), rng.integers(0, size, n * 50)
+    tracemalloc.start()
+    tl.fit_linear(rows, terms, rng.random(n * 50), np.arange(n) % classes, classes, size, 1.0, 15)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * 8 * size * classes  # the result, and one class at a time
+
+
 def test_lsa_matches_svd(texts):
     vectors = tl.TextVectors(texts, "id", "text", 1)
     latent = tl.LatentVectors(vectors, components=3)
