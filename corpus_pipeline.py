@@ -31,7 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item or part of one."""
+    """Documents that hold no benchmark item, and no quote of ``leaks.QUOTE`` (87) or more characters of one."""
     found = leaks.mark(docs, table(spark, sf_dir, "benchmark"), hits="_hits")
     return found.where(F.size("_hits") == 0).select(*docs.columns)
 

@@ -57,6 +57,46 @@ def test_finds_what_plain_alignment_finds(seed):
     assert got == want and len(want) > 40
 
 
+def hits(items, texts):
+    block = leaks.Segments.build(items, leaks.Q, leaks.SEGMENT, leaks.STRIDE, leaks.EDIT_RATE)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    return leaks.find(block, block.filter_table(), leaks.characters("".join(texts)), offsets)
+
+
+@pytest.mark.parametrize("n", [leaks.QUOTE, 96, 100, 120])
+def test_a_quote_is_found_wherever_it_starts(n):
+    rnd = random.Random(n)
+    items = [(str(i), words(rnd, k)) for i, k in enumerate((345, 200, 97, 130))]
+    texts, want = [], set()
+    for i, (_, item) in enumerate(items):
+        for a in range(len(item) - n + 1):
+            want.add((len(texts), i))
+            texts.append("".join(rnd.choices("QRSTUVWXYZ", k=rnd.randrange(120))) + item[a:a + n] + "".join(rnd.choices("QRSTUVWXYZ", k=50)))
+    assert want <= {(t, i) for t, i, _, _ in hits(items, texts)}
+
+
+def test_an_edited_quote_of_a_segment_and_a_stride_is_found():
+    rnd = random.Random(3)
+    item = words(rnd, 345)
+    n = leaks.SEGMENT + leaks.STRIDE - 1
+    texts = ["QRS" + edited(item[a:a + n], 9, rnd) + "TUV" for a in range(len(item) - n + 1)]
+    assert {t for t, _, _, _ in hits([("x", item)], texts)} == set(range(len(texts)))
+
+
+def test_items_shorter_than_a_qgram_are_looked_up_exactly(spark):
+    items = [("a", "Kiwi"), ("b", "kiwi"), ("c", "x y"), ("d", ""), ("e", "  "), ("f", "abcdefg")]
+    texts = ["two kiwis, a kiwi", "kiw", "ix\ny", "", "wi ab cdefg", "abcdefg", "kiwiabcdef"]
+    got = sorted(hits(items, texts))
+    names = [i for i in items if i[0] not in "de"]
+    want = sorted((t, k, 0, leaks_text.find(leaks_item) + len(leaks_item)) for t, leaks_text in enumerate(x.replace("\n", " ") for x in texts)
+                  for k, leaks_item in enumerate(i[1].lower() for i in names) if leaks_item in leaks_text)
+    assert got == want and len(want) == 6
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    found = {(r["doc_id"], h["item"]) for r in leaks.mark(df, bench).collect() for h in r["leak_hits"]}
+    assert found == {(t, names[k][0]) for t, k, _, _ in want}
+
+
 def test_banded_alignment_is_exact_in_its_band():
     rnd = random.Random(9)
     for _ in range(50):
