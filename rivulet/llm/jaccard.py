@@ -40,7 +40,7 @@ TREES, DEPTH, LEAST_DEPTH = 24, 6, 3
 TARGET_RECALL = 0.9995
 #: Shingles of a block; larger groups are cut into blocks that meet pairwise.
 BLOCK_SHINGLES = 1 << 18
-#: Rows to drop (an id and a hash each) that may be broadcast; above, the documents are joined by a shuffle.
+#: Rows to drop (an id and a hash each) of one broadcast, about; more are dealt by a hash into several.
 BROADCAST_ROWS = 2_000_000
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[*range(9, 14), 32]] = True
@@ -326,10 +326,11 @@ def keep_one(documents: DataFrame, *, key: str = "doc_id", text: str = "text", *
     lead = rows.groupBy("class_key").agg(F.min(F.struct(F.col("_k").isNull(), F.col("_k"), F.col("_h"))).alias("lead"))
     judged = rows.join(lead, "class_key").select("_k", "_h", "_n", (F.col("lead._k").eqNullSafe(F.col("_k")) & (F.col("lead._h") == F.col("_h"))).alias("_first"))
     drop = materialize(judged.where("not _first").select("_k", "_h"))
-    if drop.count() <= BROADCAST_ROWS:  # then no text moves
-        drop = F.broadcast(drop)
-    same = documents.withColumn("_th", F.xxhash64(text))
-    left = same.join(drop, same[key].eqNullSafe(drop["_k"]) & (same["_th"] == drop["_h"]), "left_anti")
+    blocks = max(1, -(-drop.count() // BROADCAST_ROWS))  # one broadcast join each, in one scan: no text moves at any size
+    left = documents.withColumn("_th", F.xxhash64(text))
+    for b in range(blocks):
+        block = F.broadcast(drop.where(F.pmod(F.xxhash64("_k", "_h"), F.lit(blocks)) == b))
+        left = left.join(block, left[key].eqNullSafe(block["_k"]) & (left["_th"] == block["_h"]), "left_anti")
     again = materialize(judged.where("_first and _n > 1").select("_k", "_h"))
     if again.isEmpty():
         return left.drop("_th")

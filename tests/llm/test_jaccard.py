@@ -111,5 +111,15 @@ def test_keep_one(spark):
     assert jaccard.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_moves_no_text_when_many_rows_are_dropped(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 3)
+    rows = [(i, f"text number {i % 4} of the four") for i in range(24)] + [(None, "text number 1 of the four")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = jaccard.keep_one(df)
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 3]
+    joins = [line for line in left._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftAnti" in line]
+    assert len(joins) >= 7 and all("strategy=broadcast" in line for line in joins)
+
+
 def test_query(agrees):
     agrees("op5_jaccard_join", "/root/testdata/sf0.01")
