@@ -1,4 +1,8 @@
-"""Late-payment models on Spark ML: features, preprocessing, fits, temporal validation, importance."""
+"""Late-payment models: features, preprocessing, fits, temporal validation, importance.
+
+Logistic regression and forests are Spark ML's, boosting and the network are fitted by the executors in
+``boosting`` and ``network``; every fit reads all of its rows where they lie.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +12,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.operators import boosting as bo
 from rivulet.operators import metrics as mt
-from rivulet.operators import trees as tr
+from rivulet.operators import network as nw
 from rivulet.operators.ranks import pick_quantiles, value_counts
 from rivulet.operators.windows import payment_history
 from rivulet.session import materialize
@@ -139,26 +144,25 @@ def logistic(c: float = 0.5, max_iter: int = 200) -> Fit:
         weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=1e-5), True)
 
 
-def _fit_trees(key: str, **options) -> Fit:
-    """Balanced trees; the fit takes a bounded number of labelled rows, scoring takes all rows."""
+def random_forest(trees: int = 300, depth: int = 12, least: int = 20, memory_mb: int = 1024) -> Fit:
+    """Balanced forest; a root of the columns is tried per node. ``depth`` is the bound of Spark's trees (30 at most)."""
+    return _fit(lambda _: RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, minInstancesPerNode=least, featureSubsetStrategy="sqrt", weightCol="weight", maxBins=128,
+        seed=SEED, maxMemoryInMB=memory_mb, subsamplingRate=1.0), False)
+
+
+def gradient_boosting(rounds: int = 300, leaves: int = 15, key: str = "bill_id") -> Fit:
+    """Balanced boosting; trees grow best first to ``leaves`` leaves, with an L2 term of 1."""
 
     def fit(train: DataFrame) -> Scorer:
         prep = Preprocessor.fit(train, False)
         rows, _ = balanced(train)
-        found = tr.fit_in_tasks(train, *tr.labelled_sample(rows, prep.array(), "y", "weight", key), seed=SEED, **options)
-        return lambda df, out: tr.score(df, found, prep.array(), out)
+        model = bo.fit(rows, prep.array(), prep.size(), key=key, rounds=rounds, leaves=leaves)
+        return lambda df, out: bo.score(df, model, prep.array(), out)
 
     return fit
 
 
-def random_forest(trees: int = 300, depth: int = 12, key: str = "bill_id") -> Fit:
-    return _fit_trees(key, boosted=False, trees=trees, depth=depth, least=20)
-
-
-def gradient_boosting(rounds: int = 300, depth: int = 4, key: str = "bill_id") -> Fit:
-    return _fit_trees(key, boosted=True, trees=rounds, depth=depth, least=20)
-
-
 def soft_vote(fits: list[Fit]) -> Fit:
     """Mean of the members' probabilities."""
 
@@ -251,46 +255,9 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
         F.count_if("predicted_late").alias("at_risk"), F.avg("probability").alias("mean_probability"))
 
 
-# ---------------------------------------------------------------- neural network
-def repeat_rarer(train: DataFrame, key: str = "bill_id") -> DataFrame:
-    """Repeat rows of the rarer class until both weigh the same; the network takes no weights."""
-    n = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rare = min(n, key=n.get)
-    times = max(n.values()) / n[rare]
-    extra = (F.pmod(F.xxhash64(key), F.lit(10_000)) < F.lit(int((times % 1) * 10_000))).cast("int")
-    copies = F.when(F.col("y") == rare, F.lit(int(times)) + extra).otherwise(1)
-    return train.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-
-
-def log_loss(y: Column, p: Column) -> Column:
-    bounded = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
-    return F.avg(-F.when(y == 1, F.log(bounded)).otherwise(F.log(1 - bounded)))
-
-
-def train_network(train: DataFrame, valid: DataFrame, rounds: int = 10, per_round: int = 10, patience: int = 2,
-                  hidden: tuple[int, ...] = (64, 32)) -> tuple[Scorer, list[tuple[int, float, float]]]:
-    """Multilayer perceptron trained in rounds that continue from the last weights, stopped by the validation loss."""
+def train_network(train: DataFrame, valid: DataFrame, epochs: int = 100, patience: int = 10, hidden: tuple[int, ...] = (64, 32),
+                  key: str = "bill_id") -> tuple[Scorer, list[tuple[int, float, float]]]:
+    """Network with dropout and balanced loss, stopped early by the loss of ``valid``; and the loss curve."""
     prep = Preprocessor.fit(train, True)
-    data = materialize(prep.transform(repeat_rarer(train)).select("features", F.col("y").cast("double").alias("label")))
-    weights, best, history, waited = None, None, [], 0
-
-    def scorer_of(model) -> Scorer:
-        def score(df: DataFrame, out: str) -> DataFrame:
-            scored = model.transform(prep.transform(df))
-            return scored.withColumn(out, vector_to_array("_probability")[1]).drop("features", "_raw", "_probability", "_prediction")
-        return score
-
-    for i in range(1, rounds + 1):
-        net = MultilayerPerceptronClassifier(layers=[prep.size(), *hidden, 2], maxIter=per_round, seed=SEED,
-                                             initialWeights=weights)
-        model = _named(net).fit(data)
-        weights = model.weights
-        loss = scorer_of(model)(valid, "p").agg(log_loss(F.col("y"), F.col("p")).alias("l")).first()["l"]
-        history.append((i, float(model.summary().objectiveHistory[-1]), loss))
-        if best is None or loss < best[0] - 1e-4:
-            best, waited = (loss, model), 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
-    return scorer_of(best[1]), history
+    network, history = nw.train(train, valid, prep.array(), prep.size(), key=key, hidden=hidden, epochs=epochs, patience=patience)
+    return lambda df, out: nw.score(df, network, prep.array(), out), history

@@ -75,28 +75,16 @@ CANDIDATES = {"logistic": ml.logistic(), "random_forest": ml.random_forest(), "g
 VOTE = "soft_vote"
 
 
-SEARCHED: dict[tuple, object] = {}
-
-
-def searched(spark, sf, what, search):
-    """The result of a search over models, kept for the queries of one session that build on the same tables."""
-    key = (spark.sparkContext.applicationId, sf, what)
-    if key not in SEARCHED:
-        SEARCHED[key] = search()
-    return SEARCHED[key]
-
-
 def chosen(spark, sf, train):
     """Name, fit and threshold of the model with the best out-of-fold average precision."""
-    name, _, limit = searched(spark, sf, "late payment", lambda: ml.choose_by_cv(train, CANDIDATES, vote=VOTE))[0]
+    name, _, limit = ml.choose_by_cv(train, CANDIDATES, vote=VOTE)[0]
     return name, CANDIDATES.get(name) or ml.soft_vote(list(CANDIDATES.values())), limit
 
 
 @query("choose_by_cv")
 def choose_by_cv(spark, sf):
     train, _, _ = train_test(spark, sf)
-    found = searched(spark, sf, "late payment", lambda: ml.choose_by_cv(train, CANDIDATES, vote=VOTE))
-    return spark.createDataFrame(found, "model string, cv_average_precision double, threshold double")
+    return spark.createDataFrame(ml.choose_by_cv(train, CANDIDATES, vote=VOTE), "model string, cv_average_precision double, threshold double")
 
 
 @query("permutation_importance")
@@ -118,11 +106,16 @@ def prediction_summary(spark, sf):
     return ml.prediction_summary(batch_predict_censored(spark, sf))
 
 
-@query("mlp_vs_gbt")
-def mlp_vs_gbt(spark, sf):
+def network_parts(spark, sf):
+    """Rows to fit, the last training period (to stop by), and the test rows."""
     train, test, _ = train_test(spark, sf)
     last = train.agg(F.max("period").alias("p")).first()["p"]
-    fit_rows, valid = train.where(F.col("period") < last), train.where(F.col("period") == last)
+    return train.where(F.col("period") < last), train.where(F.col("period") == last), test
+
+
+@query("mlp_vs_gbt")
+def mlp_vs_gbt(spark, sf):
+    fit_rows, valid, test = network_parts(spark, sf)
     network, history = ml.train_network(fit_rows, valid)
     boosted = ml.gradient_boosting()(fit_rows)
     out = None
@@ -134,6 +127,13 @@ def mlp_vs_gbt(spark, sf):
     return out.withColumn("network_rounds", F.lit(len(history)))
 
 
+@query("network_loss_curve")
+def network_loss_curve(spark, sf):
+    """Training and validation loss of every epoch of the network."""
+    fit_rows, valid, _ = network_parts(spark, sf)
+    return spark.createDataFrame(ml.train_network(fit_rows, valid)[1], "epoch int, train_loss double, valid_loss double")
+
+
 # ---------------------------------------------------------------- segmentation
 def profile(spark, sf):
     return ag.per_customer_profile(analysis_table(spark, sf))
@@ -214,7 +214,7 @@ def text_parts(spark, sf):
 def trained(spark, sf):
     """The classifier the whole grid search chooses, and the test texts."""
     train, test = text_parts(spark, sf)
-    return *searched(spark, sf, "text classes", lambda: tl.train_text_classifier(train, "doc_id", "text", "lang")), test
+    return *tl.train_text_classifier(train, "doc_id", "text", "lang"), test
 
 
 @query("train_text_classifier")

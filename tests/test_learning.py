@@ -8,12 +8,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rivulet.operators import boosting as bo
 from rivulet.operators import metrics as mt
 from rivulet.operators import models as ml
+from rivulet.operators import network as nw
 from rivulet.operators import segments as sg
 from rivulet.operators import textlearn as tl
 from rivulet.operators import textmodel as tm
-from rivulet.operators import trees
 
 
 @pytest.fixture(scope="module")
@@ -62,7 +63,7 @@ def test_models_beat_the_rate(bills):
     df, pdf = bills
     marked = mt.temporal_split(df, "period")
     train, test = marked.where(~F.col("is_test")).drop("is_test"), marked.where("is_test").drop("is_test")
-    vote = ml.soft_vote([ml.logistic(), ml.random_forest(10, 5), ml.gradient_boosting(5, 3)])
+    vote = ml.soft_vote([ml.logistic(), ml.random_forest(10, 5), ml.gradient_boosting(5, 4)])
     scores = vote(train)(test, "p")
     rate = test.agg(F.avg("y")).first()[0]
     assert mt.ranking_metrics(scores.select("y", "p"), "y", "p").first().average_precision > rate + 0.15
@@ -86,51 +87,122 @@ def test_permutation_keeps_the_values(bills):
 
 def test_choose_by_cv_and_network(bills):
     df, _ = bills
-    ranked = ml.choose_by_cv(df, {"logistic": ml.logistic(), "shallow": ml.gradient_boosting(2, 1)}, 3)
+    ranked = ml.choose_by_cv(df, {"logistic": ml.logistic(), "shallow": ml.gradient_boosting(2, 2)}, 3)
     assert ranked[0][1] >= ranked[1][1] and 0.1 <= ranked[0][2] <= 0.9
     last = df.agg(F.max("period")).first()[0]
-    score, history = ml.train_network(df.where(F.col("period") < last), df.where(F.col("period") == last), rounds=2, hidden=(8,))
+    score, history = ml.train_network(df.where(F.col("period") < last), df.where(F.col("period") == last), epochs=2, hidden=(8,))
     assert 1 <= len(history) <= 2 and score(df, "p").where("p BETWEEN 0 AND 1").count() == df.count()
 
 
-# ---------------------------------------------------------------- trees
-def test_one_split_is_the_best_one():
+# ---------------------------------------------------------------- boosting
+def plain_boosting(bins, y, w, rounds, leaves, rate, least, smooth):
+    """One leaf per step, every column and bin tried for every leaf; scores of the rows after all rounds."""
+    odds = (w * y).sum() / w.sum()
+    raw = np.full(len(y), np.log(odds / (1 - odds)))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-raw))
+        g, h = w * (p - y), w * p * (1 - p)
+        parts = [np.arange(len(y))]
+        while len(parts) < leaves:
+            found = []
+            for number, rows in enumerate(parts):
+                for j in range(bins.shape[1]):
+                    for cut in range(int(bins[:, j].max())):
+                        left = bins[rows, j] <= cut
+                        sides = rows[left], rows[~left]
+                        if min(map(len, sides)) >= least and min(h[s].sum() for s in sides) >= bo.LEAST_CURVATURE:
+                            gain = sum(g[s].sum() ** 2 / (h[s].sum() + smooth) for s in sides) - g[rows].sum() ** 2 / (h[rows].sum() + smooth)
+                            found.append((round(gain, 9), -number, -j, -cut, sides))
+            top = max(found, key=lambda f: f[:4], default=None)
+            if top is None or top[0] <= 1e-9:
+                break
+            parts[-top[1]:-top[1] + 1] = top[4]
+        for rows in parts:
+            raw[rows] -= rate * g[rows].sum() / (h[rows].sum() + smooth)
+    return 1 / (1 + np.exp(-raw))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
     rng = np.random.default_rng(4)
-    x, y = rng.normal(size=(200, 3)), rng.random(200)
-    edges = trees.edges_of(x)
-    column, limit, value, node = trees.grow(trees._binned(x, edges), -y, np.ones(200), edges, 1, 10, 0.0)
-    costs = {}
-    for j in range(3):
-        for cut in np.sort(x[:, j])[9:-10]:
-            left, right = y[x[:, j] <= cut], y[x[:, j] > cut]
-            if min(len(left), len(right)) >= 10:
-                costs[j, cut] = ((left - left.mean()) ** 2).sum() + ((right - right.mean()) ** 2).sum()
-    j, cut = min(costs, key=costs.get)
-    goes_right = x[:, column[0]] > limit[0]
-    found = sum(((y[side] - y[side].mean()) ** 2).sum() for side in (goes_right, ~goes_right))
-    assert column[0] == j and found <= costs[j, cut] * 1.02
-    np.testing.assert_allclose([value[1], value[2]], [y[~goes_right].mean(), y[goes_right].mean()])
-    assert (node == 1 + goes_right).all()
-
-
-def test_leaves_hold_enough_rows_and_scoring_follows_them():
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=(600, 4))
-    y = (x[:, 0] * x[:, 1] > 0).astype(float)
-    edges = trees.edges_of(x)
-    column, limit, value, node = trees.grow(trees._binned(x, edges), -y, np.ones(600), edges, 6, 25, 0.0)
-    assert np.bincount(node)[np.unique(node)].min() >= 25
-    one = trees.Trees(column[None], limit[None], value[None], 0.0, 1.0, False)
-    np.testing.assert_allclose(one.probability(x), value[node])
-    boosted = trees.fit_boosted(x, y, np.ones(600), 80, 3, rate=0.2)
-    assert ((boosted.probability(x) > 0.5) == y).mean() > 0.9
-
-
-def test_a_bounded_sample_is_used_above_the_limit(spark):
-    df = spark.range(5000).selectExpr("id", "cast(id % 2 as int) AS y", "1.0 AS w", "array(cast(id as double)) AS x")
-    x, y, w = trees.labelled_sample(df, F.col("x"), "y", "w", "id", most=1000)
-    assert 800 < len(x) <= 1000 and (np.diff(x[:, 0]) > 0).all()
-    assert len(trees.labelled_sample(df, F.col("x"), "y", "w", "id")[0]) == 5000
+    x = np.stack([rng.normal(size=2_000).round(1), rng.integers(0, 5, 2_000), rng.normal(size=2_000), np.ones(2_000)], axis=1)
+    y = (rng.random(2_000) < 1 / (1 + np.exp(-x[:, 0] * (x[:, 1] - 2)))).astype(int)
+    w = np.where(y == 1, 1.5, 1.0)
+    df = spark.createDataFrame([(i, list(map(float, r)), int(a), float(b)) for i, (r, a, b) in enumerate(zip(x, y, w))], "bill_id int, x array<double>, y int, weight double")
+    return df.repartition(5).cache(), x, y, w
+
+
+@pytest.mark.parametrize("block_rows", [10_000, 600])
+def test_boosting_equals_a_plain_loop(labelled, block_rows, monkeypatch):
+    df, x, y, w = labelled
+    monkeypatch.setattr(bo, "BLOCK_ROWS", block_rows)  # one block, and four that exchange sums
+    monkeypatch.setattr(bo, "CUT", 2)
+    edges = bo.column_edges(df, F.col("x"), 4)
+    bins = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
+    model = bo.fit(df, F.col("x"), 4, rounds=5, leaves=7, rate=0.3)
+    assert len(model.trees) == 5 and all((t.column >= 0).sum() == 6 for t in model.trees)
+    np.testing.assert_allclose(model.probability(x), plain_boosting(bins, y, w, 5, 7, 0.3, 20, 1.0), atol=1e-9)
+    scored = bo.score(df, model, F.col("x"), "p").orderBy("bill_id").select("p").toPandas().p
+    np.testing.assert_allclose(scored, model.probability(x))
+
+
+def test_bins_are_exact_quantiles(labelled):
+    df, x, _, _ = labelled
+    edges = bo.column_edges(df, F.col("x"), 4, 10)
+    assert edges[1].tolist() == [0, 1, 2, 3] and len(edges[3]) == 0
+    counts = np.bincount(np.searchsorted(edges[2], x[:, 2], side="left"))
+    assert counts.tolist() == [200] * 10
+
+
+def test_boosting_stops_without_a_split(spark):
+    df = spark.createDataFrame([(i, [1.0], i % 2, 1.0) for i in range(100)], "bill_id int, x array<double>, y int, weight double")
+    assert bo.fit(df, F.col("x"), 1, rounds=3).trees == ()
+
+
+# ---------------------------------------------------------------- network
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(0)
+    net = nw.Network.random((3, 5, 4, 1), 1)
+    x, y = rng.normal(size=(30, 3)), rng.integers(0, 2, 30).astype(float)
+    loss, g = net.gradient(x, y, 2.5, 0.2, np.random.default_rng(9))
+    for i in range(0, len(g), 7):
+        step = np.zeros_like(g)
+        step[i] = 1e-6
+        ends = [nw.Network(net.sizes, net.weights + s * step).gradient(x, y, 2.5, 0.2, np.random.default_rng(9))[0] for s in (1, -1)]
+        assert abs((ends[0] - ends[1]) / 2e-6 - g[i]) < 1e-6
+    assert net.gradient(x, y, 2.5, 0.0, rng)[0] == pytest.approx(nw.losses(net.raw(x), y, 2.5).mean())
+
+
+def test_one_block_is_plain_adam_and_many_learn_too(labelled, monkeypatch):
+    df, x, y, _ = labelled
+    valid = df.where("bill_id % 5 = 0")
+    rows = df.where("bill_id % 5 <> 0")
+    chosen = np.arange(2_000) % 5 != 0
+    options = nw.Options(batch=100, rate=1e-2)
+    found, history = nw.train(rows, valid, F.col("x"), 4, hidden=(8,), epochs=6, options=options)
+    xs, ys = x[chosen], y[chosen].astype(float)
+    heavy = (1 - ys.mean()) / ys.mean()
+    net = nw.Network.random((4, 8, 1), options.seed)
+    w, m, v, t, best = net.weights.copy(), 0.0, 0.0, 0, (np.inf, None)
+    for epoch in range(1, 7):
+        rng = np.random.default_rng((options.seed, epoch, 0))
+        order, total = rng.permutation(len(ys)), 0.0
+        for a in range(0, len(ys), 100):
+            i = order[a:a + 100]
+            loss, g = nw.Network(net.sizes, w).gradient(xs[i], ys[i], heavy, 0.2, rng)
+            g = g + 1e-4 * w
+            t, m, v, total = t + 1, 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, total + loss * len(i)
+            w = w - 1e-2 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        check = nw.losses(nw.Network(net.sizes, w).raw(x[~chosen]), y[~chosen].astype(float), heavy).mean()
+        np.testing.assert_allclose(history[epoch - 1], (epoch, total / len(ys), check), rtol=1e-6)
+        if check < best[0] - 1e-4:
+            best = check, w.copy()
+    np.testing.assert_allclose(found.weights, best[1], rtol=1e-5, atol=1e-7)
+    monkeypatch.setattr(nw, "BLOCK_ROWS", 500)
+    many, curve = nw.train(rows, valid, F.col("x"), 4, hidden=(8,), epochs=25, options=options)
+    odds = np.abs(x[~chosen, 0] * (x[~chosen, 1] - 2))  # of the labels' own rule
+    attainable = (1 / (1 + np.exp(-odds))).mean()
+    assert curve[-1][2] < curve[0][2] and ((many.probability(x[~chosen]) > 0.5) == y[~chosen]).mean() > attainable - 0.05
 
 
 # ---------------------------------------------------------------- segmentation
