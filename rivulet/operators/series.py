@@ -5,9 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.functions import holtwinters as hw
 from rivulet.operators.stats import welch
 
 # Reported lags in hours.
@@ -147,6 +150,42 @@ def holt_winters(
     return found.unionByName(short).withColumn("step", F.col("step") + 1)
 
 
+def holt_winters_fitted(df: DataFrame, by: list[str], order: str, value: str, period: int = 12, ahead: int = 6) -> DataFrame:
+    """Additive trend and season with fitted weights and start values: (by, alpha, beta, gamma, sse, step, forecast, problem).
+
+    The weights lie in [0, 1]; for any of them the start values of least squared error are solved for. A series
+    holds one value per period of the calendar and is fitted whole by one task. A series with a null, or shorter
+    than two seasons, gets null forecasts, and ``problem`` says so.
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema.fields)
+    schema = f"{fields}, alpha double, beta double, gamma double, sse double, step int, forecast double, problem string"
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values(order)[value].to_numpy(float)
+        weights, error, found, problem = [None] * 3, None, [None] * ahead, None
+        if np.isnan(x).any():
+            problem = "a missing value"
+        elif len(x) < 2 * period:
+            problem = "shorter than two seasons"
+        else:
+            weights, start, error = hw.fit(x, period)
+            found = hw.forecast(x, weights, start, period, ahead)
+        rows = [(*key, *weights, error, h, f, problem) for h, f in enumerate(found, 1)]
+        return pd.DataFrame(rows, columns=[*by, "alpha", "beta", "gamma", "sse", "step", "forecast", "problem"])
+
+    return df.select(*by, order, F.col(value).cast("double").alias(value)).groupBy(*by).applyInPandas(one, schema)
+
+
+def forecast_table(df: DataFrame, by: list[str], order: str, value: str, test: int = 6, season: int = 12) -> DataFrame:
+    """The test rows with the forecasts of all models: ``naive``, ``seasonal_naive``, ``holt_winters``; each sees the rows before only."""
+    w = Window.partitionBy(*by).orderBy(order)
+    placed = df.withColumn("_i", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    fitted = holt_winters_fitted(placed.where(F.col("_i") <= F.col("_n") - test).drop("_i", "_n"), by, order, value, season, test)
+    steps = placed.where(F.col("_i") > F.col("_n") - test).select(*by, order, (F.col("_i") - F.col("_n") + test).cast("int").alias("step"))
+    ours = steps.join(fitted.select(*by, "step", F.col("forecast").alias("holt_winters")), [*by, "step"], "left").drop("step")
+    return naive_forecasts(df, by, order, value, test, season).join(ours, [*by, order])
+
+
 def autocorrelation(df: DataFrame, by: list[str], order: str, value: str, lags=ACF_LAGS) -> DataFrame:
     """Biased autocorrelation at the given lags and the 95 % band."""
     w = Window.partitionBy(*by).orderBy(order)

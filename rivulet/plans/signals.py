@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rivulet.functions import wavelet as wv
@@ -176,7 +177,16 @@ def forecast_scores(spark, sf):
 
 @query("holt_winters_additive")
 def holt_winters_additive(spark, sf):
-    return se.holt_winters(monthly(spark, sf), ["tariff"], "period", "m3")
+    return se.holt_winters_fitted(monthly(spark, sf), ["tariff"], "period", "m3")
+
+
+@query("forecast_ranking")
+def forecast_ranking(spark, sf):
+    """All three forecasts of the last six months, the best mean error first."""
+    table = se.forecast_table(monthly(spark, sf), ["tariff"], "period", "m3")
+    models = ["naive", "seasonal_naive", "holt_winters"]
+    scores = se.forecast_scores(table.where(F.col("holt_winters").isNotNull()), "m3", models)
+    return scores.withColumn("place", F.row_number().over(Window.orderBy("mae", "model")))  # one row per model
 
 
 @query("autocorrelation", with_ctes(HOURLY) + """,

@@ -230,6 +230,26 @@ def test_silhouette(spark):
     assert abs(sg.silhouette(df, "x", "s").first().silhouette - brute_silhouette(x, label)) < 1e-9
 
 
+@pytest.mark.parametrize("spread", [0.0, 6.0])
+def test_euclidean_silhouette_equals_all_pairs(spark, spread, monkeypatch):
+    monkeypatch.setattr(sg, "BLOCK_ROWS", 200)
+    rng = np.random.default_rng(19)
+    label = rng.integers(0, 4, 3_000)
+    label[7] = 9  # alone
+    x = rng.normal(size=(3_000, 3)) + spread * np.array([[0, 0, 0], [1, 0, 0], [0, 1, 0], [0, 0, 1]])[label % 4]
+    x[100:120] = x[0]
+    df = spark.createDataFrame([(i, v, int(c)) for i, (v, c) in enumerate(zip(x.tolist(), label))], "id int, x array<double>, s int")
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(-1))
+    names = np.unique(label)
+    total = np.stack([d[:, label == c].sum(1) for c in names], axis=1)
+    size = np.array([(label == c).sum() for c in names])
+    own = np.searchsorted(names, label)
+    rest = np.where(np.arange(len(names)) == own[:, None], np.inf, total / size).min(1)
+    a = total[np.arange(3_000), own] / np.maximum(size[own] - 1, 1)
+    want = np.where(size[own] > 1, (rest - a) / np.maximum(a, rest), 0).mean()
+    assert abs(sg.euclidean_silhouette(df, "id", "x", "s").first().silhouette - want) < 1e-9
+
+
 def test_kmeans_ends_in_a_fixed_point_and_finds_the_number(spark):
     rng = np.random.default_rng(12)
     corners = np.array([[0, 0], [9, 0], [0, 9]])

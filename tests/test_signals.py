@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rivulet.functions import holtwinters as hw
 from rivulet.functions import wavelet as wv
 from rivulet.operators import leaks as lk
 from rivulet.operators import series as se
@@ -169,3 +170,71 @@ def test_hours_without_pulses_are_zero(spark):
     rows = spark.createDataFrame([(s, FIRST + dt.timedelta(minutes=m), v) for s, m, v in minutes], "s string, ts timestamp_ntz, v double")
     out = se.hourly_total(rows, "ts", "v", ["s"]).sort("s", "hour").collect()
     assert [(r["s"], r["v"]) for r in out] == [("a", 2.0), ("a", 0.0), ("a", 4.0), ("b", 0.0), ("b", 1.0), ("b", 0.0)]
+
+
+# ---------------------------------------------------------------- fitted smoothing
+def plain_smoothing(x, weights, start, period, ahead):
+    a, b, g = weights
+    level, trend, *season = start
+    error = 0.0
+    for v in x:
+        old = season.pop(0)
+        error += (v - level - trend - old) ** 2
+        before, level = level, a * (v - old) + (1 - a) * (level + trend)
+        trend = b * (level - before) + (1 - b) * trend
+        season.append(g * (v - level) + (1 - g) * old)
+    return error, [level + h * trend + season[(h - 1) % period] for h in range(1, ahead + 1)]
+
+
+def test_fit_is_no_worse_than_any_grid_point_and_follows_the_recursion():
+    rng = np.random.default_rng(6)
+    x = 50 + 0.4 * np.arange(48) + 8 * np.sin(np.arange(48) * np.pi / 6) + rng.normal(0, 2, 48)
+    weights, start, error = hw.fit(x, 12)
+    assert ((weights >= 0) & (weights <= 1)).all()
+    plain, ahead = plain_smoothing(x, weights, start, 12, 6)
+    assert error == pytest.approx(plain) and hw.forecast(x, weights, start, 12, 6) == pytest.approx(ahead)
+    first, second = x[:12].mean(), x[12:24].mean()
+    for w in hw.GRID:
+        assert error <= plain_smoothing(x, w, [first, (second - first) / 12, *(x[:12] - first)], 12, 1)[0] + 1e-9
+        assert error <= hw.costs(x, w[None], 12)[0][0] + 1e-9
+
+
+def test_start_values_are_the_least_squares_ones():
+    x = np.random.default_rng(8).normal(20, 3, 30)
+    w = np.array([0.37, 0.12, 0.2])
+    cost, (start,) = hw.costs(x, w[None], 4)
+    for i in range(6):
+        for step in (-1e-3, 1e-3):
+            other = start.copy()
+            other[i] += step
+            assert plain_smoothing(x, w, other, 4, 1)[0] >= cost[0] - 1e-9
+
+
+def test_known_weights_are_found_again():
+    period, w, rng = 4, (0.3, 0.1, 0.6), np.random.default_rng(3)
+    level, trend, season, x = 100.0, 0.5, [5.0, -3.0, 1.0, -3.0], []
+    for _ in range(400):  # the series follows the recursion with small errors
+        old = season.pop(0)
+        x.append(level + trend + old + rng.normal(0, 1))
+        before, level = level, w[0] * (x[-1] - old) + (1 - w[0]) * (level + trend)
+        trend = w[1] * (level - before) + (1 - w[1]) * trend
+        season.append(w[2] * (x[-1] - level) + (1 - w[2]) * old)
+    found, _, error = hw.fit(np.array(x), period)
+    np.testing.assert_allclose(found, w, atol=0.12)
+    assert error <= hw.costs(np.array(x), np.array([w]), period)[0][0] + 1e-9
+
+
+def test_fitted_operator_and_ranking(spark):
+    rng = np.random.default_rng(2)
+    rows = [("a", i, 30 + i + 5 * np.sin(i * np.pi / 6) + rng.normal(0, .1)) for i in range(36)] + [("b", i, 1.0) for i in range(10)]
+    rows += [("c", i, None if i == 4 else 2.0 + i) for i in range(30)]
+    df = spark.createDataFrame([(s, i, None if v is None else float(v)) for s, i, v in rows], "s string, i int, v double")
+    out = {}
+    for r in se.holt_winters_fitted(df, ["s"], "i", "v").orderBy("s", "step").collect():
+        out.setdefault(r["s"], []).append(r)
+    assert {k: (len(v), v[0]["problem"]) for k, v in out.items()} == {"a": (6, None), "b": (6, "shorter than two seasons"), "c": (6, "a missing value")}
+    assert all(r["forecast"] is None for k in "bc" for r in out[k]) and [r["step"] for r in out["a"]] == [1, 2, 3, 4, 5, 6]
+    table = se.forecast_table(df.where("s = 'a'"), ["s"], "i", "v")
+    best = se.forecast_scores(table, "v", ["naive", "seasonal_naive", "holt_winters"]).collect()
+    assert [r["model"] for r in best][0] == "holt_winters" and best[0]["mae"] < 0.5 and table.count() == 6
+    assert se.holt_winters_fitted(df.limit(0), ["s"], "i", "v").collect() == []
