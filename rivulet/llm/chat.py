@@ -19,7 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "### ", "</turn>"
@@ -88,7 +88,7 @@ def format_turn(role: str, text: str) -> tuple[str, int, int]:
 
 
 def format_turns(conversations: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """conv_id, turn, formatted, loss_start, loss_end: one rendered piece per row.
+    """conv_id, turn, role, formatted, loss_start, loss_end: one rendered piece per row.
 
     The text of ``loss_role`` lies at characters loss_start to loss_end of the piece; for other
     roles both are null. The pieces of a conversation, in order, are its formatted text.
@@ -101,14 +101,20 @@ def format_turns(conversations: DataFrame, loss_role: str = "assistant") -> Data
             rows = [format_turn(r, t) for r, t in zip(pdf["role"], pdf["text"])]
             masked = [r == loss_role for r in pdf["role"]]
             yield pd.DataFrame({
-                "conv_id": pdf["conv_id"], "turn": pdf["turn"], "formatted": [r[0] for r in rows],
+                "conv_id": pdf["conv_id"], "turn": pdf["turn"], "role": pdf["role"], "formatted": [r[0] for r in rows],
                 "loss_start": pd.array([r[1] if m else None for r, m in zip(rows, masked)], dtype="Int64"),
                 "loss_end": pd.array([r[2] if m else None for r, m in zip(rows, masked)], dtype="Int64")})
 
     source = conversations.select(
         "conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return source.mapInPandas(run, f"conv_id {key}, turn {turn}, formatted string, loss_start bigint, loss_end bigint")
+    return source.mapInPandas(run, f"conv_id {key}, turn {turn}, role string, formatted string, loss_start bigint, loss_end bigint")
+
+
+def _text_of(formatted: Column) -> Column:
+    """The text of one rendered turn, unescaped; rows of one turn number follow by it."""
+    inner = F.substring(formatted, F.instr(formatted, "\n") + 1, F.length(formatted) - F.instr(formatted, "\n") - len(f"\n{CLOSE}\n"))
+    return F.regexp_replace(inner, r"\\(\\*(?:### |</turn>))", "$1")
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
@@ -156,6 +162,6 @@ def read_back(pieces: DataFrame) -> DataFrame:
         pieces.withColumn("_null", F.col("conv_id").isNull())
         .withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("loss_start", "loss_end")})
         .withColumn("conv_id", F.coalesce("conv_id", F.lit(0).cast(key)))
-        .repartition("_null", "conv_id").sortWithinPartitions("_null", "conv_id", "turn", "formatted"))
+        .repartition("_null", "conv_id").sortWithinPartitions("_null", "conv_id", "turn", "role", _text_of(F.col("formatted"))))
     return ordered.mapInPandas(
         run, f"conv_id {key}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")

@@ -39,6 +39,14 @@ def test_nulls_ties_and_repeats(spark):
     assert chat.read_back(chat.format_turns(df.limit(0))).count() == 0
 
 
+def test_ties_follow_by_role_and_text_not_by_their_rendering(spark):
+    texts = [("user", "### a"), ("user", "A"), ("user", "a"), ("user", "a\tb"), ("user", "a\nb"), ("user", "\\</turn>"), ("user", "[x"), ("a\\n", "z"), ("a\nb", "z"), ("a!", "z"), ("user", "")]
+    df = spark.createDataFrame([(1, 0, *t) for t in texts[::-1]], "conv_id long, turn long, role string, text string").repartition(3)
+    row = chat.read_back(chat.format_turns(df)).first()
+    want = "".join(f"{r}\n{t}\n" for r, t in sorted(texts, key=lambda p: (p[0].encode(), p[1].encode())))
+    assert row["turns_sha256"] == hashlib.sha256(want.encode()).hexdigest() and row["n_turns"] == len(texts)
+
+
 def test_very_long_text(spark):
     text = "\\</turn> ### " * 200_000
     df = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
