@@ -5,7 +5,8 @@ separator, so any store Spark writes to will do. Payloads of at least ``least_by
 are stored once, with the largest id; the others are revisit records.
 
 Reading: files are split at the record magic, wherever it stands, so a large file is read by many
-tasks. A magic may lie inside a payload. Every task therefore only emits candidates, each with the
+tasks. They are scanned once: what stands between magics is numbered and stored, as another scan may be
+split elsewhere when executors come or go. A magic may lie inside a payload. Every task therefore only emits candidates, each with the
 offset that its Content-Length names as its successor's. Pointers are doubled inside each split until
 they leave it; what enters the splits is followed from the file's start in the same way; only what is
 reached is a record. The payload of a record that is one piece needs no shuffle; pieces of a record
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rivulet.session import materialize
+from rivulet.session import materialize, shared_folder
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -71,9 +72,12 @@ def _field(name: str) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """What stands between magics, numbered in the order of the scan: file, block, rid, value."""
-    return spark.read.option("lineSep", MAGIC).text(path).select(
+    """What stands between magics, numbered in the order of the only scan and stored: file, block, rid, value."""
+    found = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("rid"), "value")
+    stored = shared_folder(spark)
+    found.write.option("compression", "zstd").parquet(stored)
+    return spark.read.schema(found.schema).parquet(stored)
 
 
 def _with_header(df: DataFrame) -> DataFrame:

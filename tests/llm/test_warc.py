@@ -49,6 +49,20 @@ def test_round_trip_with_forged_payloads(spark, tmp_path, split):
     assert all(body == texts[i] for i, kind, body in got if kind == "response")
 
 
+def test_splits_may_change_after_reading_began(spark, tmp_path):
+    rnd = random.Random(4)
+    path = str(tmp_path / "a")
+    warc.write(warc.records(pages(spark, [(i, "u", forged(rnd) + "y" * 300) for i in range(120)]).coalesce(1)), path)
+    kept = sorted((i, kind, body) for f in glob.glob(path + "/part-*") for i, kind, body in plain_reader(open(f, "rb").read()))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        found = warc.read(spark, path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        assert sorted((r["record_id"], r["record_type"], bytes(r["payload"])) for r in found.collect()) == kept
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_revisits_and_odd_rows(spark, tmp_path):
     big, other = "b" * 1000, "é" * 600
     rows = [(1, "u", big), (5, "u", big), (3, "u", big), (7, "u", "s" * 999), (8, "u", "s" * 999), (None, "u", other), (2, "u", other), (9, "u", "v" * 2000),
