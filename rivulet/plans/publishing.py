@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators import publish as pb
 from rivulet.plans import bindings as b
 from rivulet.plans.bindings import BILLS_RAW
 from rivulet.plans.evaluation import AGENT_LOG, agent_log
-from rivulet.plans.registry import query, with_ctes
+from rivulet.plans.registry import ORACLES, query, with_ctes
 from rivulet.plans.summaries import r6
 from rivulet.session import shared_folder
+from rivulet.sources.readers import read_csv_tables as read_tables
+from rivulet.sources.stored import StoredTable
 
 MODULE_LIST = list(pb.MODULES)
 
@@ -102,6 +107,25 @@ def insert_ignore(spark, sf):
     return pb.insert_ignore(old, rows.where("version <> 'v0'").drop("version"), ["modulo", "clave"])
 
 
+@query("stored_upsert", ORACLES["upsert"])
+def stored_upsert(spark, sf):
+    """The upsert on a stored table, of which only the buckets of incoming keys are written anew."""
+    rows = _versions(spark, sf)
+    old = pb.upsert(rows.where("version = 'v0'").drop("version"), rows.where("version = 'v1'").drop("version"), ["modulo", "clave"], "creado_en")
+    table = StoredTable.create(old, shared_folder(spark), ["modulo", "clave"])
+    table.upsert(rows.where("version = 'v2'").drop("version"), "creado_en")
+    return table.read()
+
+
+@query("stored_insert_ignore", ORACLES["insert_ignore"])
+def stored_insert_ignore(spark, sf):
+    rows = _versions(spark, sf).select("modulo", "clave", "version", "payload")
+    old = rows.where("version = 'v0'").groupBy("modulo", "clave").agg(F.min("payload").alias("payload"))
+    table = StoredTable.create(old, shared_folder(spark), ["modulo", "clave"])
+    table.insert_ignore(rows.where("version <> 'v0'").drop("version"))
+    return table.read()
+
+
 @query("current_results", with_ctes(VERSIONS) + """
   SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY modulo, clave ORDER BY creado_en DESC, version DESC, payload DESC) = 1""")
 def current_results(spark, sf):
@@ -150,6 +174,35 @@ def replace_version(spark, sf):
     return back.groupBy("version", "label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total"), 2).alias("total"))
 
 
+@query("stored_replace_version", ORACLES["replace_version"])
+def stored_replace_version(spark, sf):
+    """One version of a stored table is replaced; only the buckets that hold it are written anew."""
+    rows = b.bills_raw(spark, sf).select("bill_id", (F.col("conn_id") % 3).alias("version"), "total", F.lit("old").alias("label")).dropDuplicates(["bill_id"])
+    table = StoredTable.create(rows, shared_folder(spark), ["bill_id"])
+    table.replace_version(rows.where("version = 1").withColumn("label", F.lit("new")), "version")
+    return table.read().groupBy("version", "label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total"), 2).alias("total"))
+
+
+@query("read_csv_tables", """
+  SELECT 'customer' AS table_name, count(*) FILTER (c_custkey % 50 <> 0) AS n, count(*) FILTER (c_custkey % 50 = 0) AS rejected,
+         round(sum(c_acctbal) FILTER (c_custkey % 50 <> 0), 2) AS total FROM customer
+  UNION ALL SELECT 'part', count(*), 0, round(sum(p_retailprice), 2) FROM part""")
+def read_csv_tables(spark, sf):
+    """Customers and parts written as CSV, every fiftieth customer with a balance that is no number, and read back."""
+    sums, folder = {"customer": "c_acctbal", "part": "p_retailprice"}, shared_folder(spark)
+    schemas = {}
+    for name, c in sums.items():
+        rows = b.table(spark, sf, name)
+        schemas[name] = rows.schema
+        spoiled = F.when(F.col("c_custkey") % 50 == 0, F.lit("n/a")).otherwise(F.col(c).cast("string")) if name == "customer" else F.col(c)
+        rows.withColumn(c, spoiled).write.csv(f"{folder}/{name}.csv", header=True)
+    tables, rejected = read_tables(spark, folder, schemas)
+    broken = rejected.groupBy("table_name").agg(F.count(F.lit(1)).alias("rejected"))
+    found = reduce(DataFrame.unionByName, [
+        tables[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n"), F.round(F.sum(c), 2).alias("total")) for n, c in sums.items()])
+    return found.join(broken, "table_name", "left").select("table_name", "n", F.coalesce("rejected", F.lit(0)).cast("bigint").alias("rejected"), "total")
+
+
 @query("write_tables", """
   SELECT 'customer' AS table_name, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
   UNION ALL SELECT 'part', count(*), round(sum(p_retailprice), 2) FROM part""")
