@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.ranks import exact_quantiles, pick_quantiles, value_counts
+from rivulet.operators.ranks import exact_quantiles, pick_quantiles, running_totals, value_counts
 from rivulet.session import materialize
 
 
@@ -94,12 +94,11 @@ def value_shares(df: DataFrame, columns: list[str], top: int = 3) -> DataFrame:
     shaped = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_kv"))
     counts = shaped.groupBy("_kv").agg(F.count(F.lit(1)).alias("n")).select("_kv.*", "n")
-    whole = Window.partitionBy("variable")  # one row per distinct value
-    place = F.row_number().over(whole.orderBy(F.col("n").desc(), "value"))
-    return counts.withColumn("place", place).withColumns({
-        "share": F.col("n") / F.sum("n").over(whole),
-        "top_share": F.sum(F.when(F.col("place") <= top, F.col("n"))).over(whole) / F.sum("n").over(whole),
-    })
+    placed = running_totals(counts.withColumn("_o", F.struct((-F.col("n")).alias("less"), "value")), "_o", {"one": F.count(F.lit(1)), "m": F.sum("n")}, ["variable"])
+    placed = materialize(placed.select("variable", F.col("_o.value").alias("value"), F.col("m").alias("n"), (F.col("one_before") + 1).cast("int").alias("place"), "m_all"))
+    first = placed.where(F.col("place") <= top).groupBy("variable").agg((F.sum("n") / F.max("m_all")).alias("top_share"))
+    return placed.join(F.broadcast(first), "variable").select(  # one row per variable
+        "variable", "value", "n", "place", (F.col("n") / F.col("m_all")).alias("share"), "top_share")
 
 
 def reading_quality(df: DataFrame) -> DataFrame:

@@ -97,6 +97,14 @@ def agent_log_stats(log: DataFrame, session: str, step: str, tool: str, error: s
         F.count_if(~F.col(step).between(1, MAX_STEPS)).alias("beyond_limit"), F.count_if(F.col(step) == MAX_STEPS).alias("at_limit"))
 
 
+def agent_sessions(log: DataFrame, session: str, step: str, error: str) -> DataFrame:
+    """One row: sessions, those that reach the step limit, those beyond it, and those with an error; and the mean number of steps."""
+    each = log.groupBy(session).agg(F.max(step).alias("last"), F.count(F.lit(1)).alias("steps"), F.count(error).alias("errors"))
+    return each.agg(
+        F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("last") >= MAX_STEPS).alias("at_limit"), F.count_if(F.col("last") > MAX_STEPS).alias("beyond_limit"),
+        F.count_if(F.col("errors") > 0).alias("with_errors"), F.avg("steps").alias("mean_steps"))
+
+
 def account_status(bills: DataFrame, key: str, period: str, total: str, paid: str, n: int = 6) -> DataFrame:
     """Unpaid sum and count among the last ``n`` bills of every connection."""
     last = top_n(bills, [key], [F.col(period).desc()], n)

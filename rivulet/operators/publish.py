@@ -72,16 +72,15 @@ def results_by_module(results: DataFrame, modules: list[str]) -> DataFrame:
 
 
 def write_results(results: DataFrame, path: str) -> None:
-    """One JSON list per module, as result files hold it (a module has a handful of keys)."""
+    """JSON files, an entry per line, in a folder per module."""
     entry = F.struct("modulo", "clave", "version", F.try_parse_json("payload").alias("payload"))
-    lists = results.groupBy(F.col("modulo").alias("m")).agg(F.collect_list(entry).alias("_e"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("_e", lambda e: F.to_json(e)), ","), F.lit("]"))
-    lists.select("m", text.alias("value")).write.partitionBy("m").text(path)
+    results.select(F.col("modulo").alias("m"), F.to_json(entry).alias("value")).write.partitionBy("m").text(path)
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Result files: JSON lists of {modulo, clave, version, payload}; the payload stays JSON text."""
-    return spark.read.schema("modulo string, clave string, version string, payload string").json(path, multiLine=True)
+def read_results(spark: SparkSession, path: str, lists: bool = False) -> DataFrame:
+    """Result files: {modulo, clave, version, payload} per line, or one JSON ``list`` of them per file; the payload stays JSON text."""
+    found = spark.read.schema("modulo string, clave string, version string, payload string").json(path, multiLine=lists)
+    return found.select("modulo", "clave", "version", "payload")
 
 
 def replace_version(df: DataFrame, path: str, version: str) -> None:

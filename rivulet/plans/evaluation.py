@@ -303,6 +303,14 @@ def agent_log_stats(spark, sf):
     return ev.agent_log_stats(agent_log(spark, sf), "session", "step", "tool", "error", "ms").withColumn("mean_ms", r6("mean_ms"))
 
 
+@query("agent_sessions", with_ctes(AGENT_LOG) + """,
+  s AS (SELECT session, max(step) AS l, count(*) AS n, count(error) AS e FROM agent_log GROUP BY 1)
+  SELECT count(*) AS sessions, count(*) FILTER (l >= 5) AS at_limit, count(*) FILTER (l > 5) AS beyond_limit, count(*) FILTER (e > 0) AS with_errors,
+         round(avg(n), 6) AS mean_steps FROM s""")
+def agent_sessions(spark, sf):
+    return ev.agent_sessions(agent_log(spark, sf), "session", "step", "error").withColumn("mean_steps", r6("mean_steps"))
+
+
 # ---------------------------------------------------------------- accounts
 @query("account_status", with_ctes(BILLS) + """,
   l AS (SELECT * FROM bills QUALIFY row_number() OVER (PARTITION BY conn_id ORDER BY period DESC) <= 6)

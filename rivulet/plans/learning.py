@@ -22,12 +22,18 @@ def features(spark, sf):
     return ml.payment_features(analysis_table(spark, sf))
 
 
-@query("payment_features", with_ctes(ANALYSIS) + """
-  SELECT bill_id, CAST(late AS INTEGER) AS y, tariff, CAST(area AS VARCHAR) AS area, CAST(direct_debit AS DOUBLE) AS direct_debit, CAST(inconsistent AS DOUBLE) AS inconsistent,
-    total, CAST(month AS DOUBLE) AS month, last_value(CAST(late AS INTEGER) IGNORE NULLS) OVER (PARTITION BY conn_id ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)::DOUBLE AS previous_label
-  FROM analysis""")
+PAST = "OVER (PARTITION BY conn_id ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+SIX = "OVER (PARTITION BY conn_id ORDER BY period ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)"
+EXACT = [c for c in ml.BINARY + ml.NUMERIC if c not in ("late_rate_so_far", "m3_vs_avg6")]
+
+
+@query("payment_features", with_ctes(ANALYSIS) + f""",
+  f AS (SELECT *, last_value(CAST(late AS INTEGER) IGNORE NULLS) {PAST} AS previous_label, avg(CAST(late AS INTEGER)) {PAST} AS late_rate_so_far,
+    sum(CAST(late AS INTEGER)) {SIX} AS late_last_6, count(late) {PAST} AS bills_with_history, avg(m3) {SIX} AS avg6 FROM analysis)
+  SELECT bill_id, CAST(late AS INTEGER) AS y, tariff, CAST(area AS VARCHAR) AS area, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in EXACT)},
+    round(late_rate_so_far, 9) AS late_rate_so_far, round(m3 / CASE WHEN avg6 > 0 THEN avg6 END, 9) AS m3_vs_avg6 FROM f""")
 def payment_features(spark, sf):
-    return features(spark, sf).select("bill_id", "y", "tariff", "area", "direct_debit", "inconsistent", "total", "month", "previous_label")
+    return features(spark, sf).select("bill_id", "y", *ml.CATEGORICAL, *EXACT, *[r6(c, 9).alias(c) for c in ("late_rate_so_far", "m3_vs_avg6")])
 
 
 def train_test(spark, sf):

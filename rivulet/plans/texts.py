@@ -341,6 +341,12 @@ def chunk_size_distribution(spark, sf):
     return bins.withColumns({"median": middle.select("median").scalar(), "largest": middle.select("largest").scalar()})
 
 
+@query("chunk_sizes")
+def chunk_sizes(spark, sf):
+    """Chunks and characters of every document of the corpus."""
+    return rt.chunk_sizes(corpus(spark, sf), ["source", "title"])
+
+
 def questions(spark, sf):
     """Questions of the search: mean vectors of every (label, id mod 5) group, 50 at any scale of ten labels."""
     rows = unit_vectors(spark, sf)

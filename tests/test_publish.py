@@ -34,3 +34,12 @@ def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "x,y")], "id int, t string")
     paths = pb.write_tables({"t": df}, str(tmp_path), "csv")
     assert spark.read.schema(df.schema).csv(paths["t"], header=True).collect() == df.collect()
+
+
+def test_results_by_line_and_as_lists(spark, tmp_path):
+    rows = spark.createDataFrame([("eda", "a", "v1", '{"n":[1,2],"titulo":"x"}'), ("eda", "b", "v1", None), ("ml", "c", "v2", '{"titulo":"é"}')], "modulo string, clave string, version string, payload string")
+    pb.write_results(rows, str(tmp_path / "lines"))
+    assert sorted(map(tuple, pb.read_results(spark, str(tmp_path / "lines")).collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    (tmp_path / "eda.json").write_text('[{"modulo": "eda", "clave": "a", "version": "v1",\n "payload": {"titulo": "x"}}, {"modulo": "eda", "clave": "b", "version": "v1", "payload": {}}]')
+    back = pb.read_results(spark, str(tmp_path / "eda.json"), lists=True).orderBy("clave").collect()
+    assert [(r["clave"], r["payload"].replace(" ", "")) for r in back] == [("a", '{"titulo":"x"}'), ("b", "{}")]
