@@ -38,7 +38,7 @@ def test_every_oracle_has_a_query():
 
 
 #: Fits that take minutes; tests/test_learning.py tests their operators.
-LONG = {"choose_by_cv", "soft_vote", "batch_predict_censored", "prediction_summary", "mlp_vs_gbt", "permutation_importance", "gradient_boosting",
+LONG = {"choose_by_cv", "soft_vote", "batch_predict_censored", "prediction_summary", "permutation_importance",
         "random_forest", "train_text_classifier", "text_classifier_grid", "export_model", "silhouette_by_k", "segment_table", "lsa"}
 
 
