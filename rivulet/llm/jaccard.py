@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rivulet.llm.components import components
-from rivulet.llm.textblocks import bound_batches, flat_bytes, hash_words, lean, mix, runs, strings
+from rivulet.llm.textblocks import bound_batches, flat_bytes, hash_words, lean, mix, runs, strings, unused
 from rivulet.session import materialize
 
 WORDS, THRESHOLD = 5, 0.8
@@ -320,20 +320,22 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
 
 
 def keep_one(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``documents`` with one row of every class, that of the least key; texts without words all stay."""
+    """``documents`` with one row of every class, that of the least key; texts without words all stay.
+    Other columns, of any name, pass through."""
     found = near_duplicates(documents, key=key, text=text, **options).where("has_words")
     rows = materialize(found.groupBy("class_key", F.col(key).alias("_k"), F.col("text_hash").alias("_h")).agg(F.count(F.lit(1)).alias("_n")))
     lead = rows.groupBy("class_key").agg(F.min(F.struct(F.col("_k").isNull(), F.col("_k"), F.col("_h"))).alias("lead"))
     judged = rows.join(lead, "class_key").select("_k", "_h", "_n", (F.col("lead._k").eqNullSafe(F.col("_k")) & (F.col("lead._h") == F.col("_h"))).alias("_first"))
     drop = materialize(judged.where("not _first").select("_k", "_h"))
     blocks = max(1, -(-drop.count() // BROADCAST_ROWS))  # one broadcast join each, in one scan: no text moves at any size
-    left = documents.withColumn("_th", F.xxhash64(text))
+    mark = unused(documents.columns, "text_hash")
+    left = documents.withColumn(mark, F.xxhash64(text))
     for b in range(blocks):
         block = F.broadcast(drop.where(F.pmod(F.xxhash64("_k", "_h"), F.lit(blocks)) == b))
-        left = left.join(block, left[key].eqNullSafe(block["_k"]) & (left["_th"] == block["_h"]), "left_anti")
+        left = left.join(block, left[key].eqNullSafe(block["_k"]) & (left[mark] == block["_h"]), "left_anti")
     again = materialize(judged.where("_first and _n > 1").select("_k", "_h"))
     if again.isEmpty():
-        return left.drop("_th")
-    on = left[key].eqNullSafe(again["_k"]) & (left["_th"] == again["_h"])
-    once = left.join(again, on, "left_semi").dropDuplicates([key, "_th"])
-    return left.join(again, on, "left_anti").unionByName(once).drop("_th")
+        return left.drop(mark)
+    on = left[key].eqNullSafe(again["_k"]) & (left[mark] == again["_h"])
+    once = left.join(again, on, "left_semi").dropDuplicates([key, mark])
+    return left.join(again, on, "left_anti").unionByName(once).drop(mark)

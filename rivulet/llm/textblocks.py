@@ -36,6 +36,14 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return task
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores before it as it takes for no column to begin with it, in any case of letters."""
+    taken = [c.lower() for c in columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name = f"_{name}"
+    return name
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts joined, and the offsets of each (one more than texts); null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

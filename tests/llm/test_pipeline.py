@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -83,6 +84,26 @@ def test_registered_pipeline_is_the_stages_in_order(spark):
     assert 0 < entry.queries()["pipeline"](spark, SF).count() <= spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_columns_of_the_operators_own_names_and_odd_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["_letters", "letters", "_th", "text_hash", "_hits", "hits", "_lang_pred", "lang_accepted", "_k", "_h", "_n", "key", "copy", "label", "hash", "_text", "spans"]
+    docs = docs.limit(60).select("*", *[F.when(F.col("doc_id") % 3 > 0, F.lit(n)).alias(n) for n in names])
+    odd = [(None, docs.first()["text"]), (None, docs.first()["text"]), (90_001, None), (90_002, ""), (90_003, "one"), (90_003, "one")]
+    more = spark.createDataFrame([(i, t, "en", None, len(t or "")) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars int")
+    docs = docs.unionByName(more, allowMissingColumns=True)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if "round_trip" not in out.columns:
+            assert out.columns == docs.columns
+            kept = {r["doc_id"]: r for r in docs.collect()}
+            rows = out.collect()
+            assert rows and all(r[n] == kept[r["doc_id"]][n] for r in rows for n in names)
+    last = corpus_pipeline.encoded(spark, spark.createDataFrame(odd, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source"), SF)
+    empty = last.where("doc_id = 90001").first()
+    assert empty["ids"] is None and empty["n_tokens"] == 0 and empty["round_trip"] and last.count() == 6 and last.where("round_trip").count() == 6
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
