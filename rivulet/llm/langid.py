@@ -89,7 +89,7 @@ def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _familiarity(seen: np.ndarray, bucket: np.ndarray, owner: np.ndarray, token: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
-    """Upper median over a text's words of the share of seen n-grams; 1 for one word, 0 for none."""
+    """Lower median over a text's words of the share of seen n-grams; the greater of two words, 1 for one, 0 for none."""
     n = int(token.max()) + 1 if len(token) else 0
     word = np.bincount(owner, weights=seen[bucket], minlength=n) / np.maximum(np.bincount(owner, minlength=n), 1)
     count, share = np.bincount(text, minlength=texts), word[token]
@@ -97,7 +97,8 @@ def _familiarity(seen: np.ndarray, bucket: np.ndarray, owner: np.ndarray, token:
     if len(text):  # the words of a text follow each other
         begin = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
         at, order = text[begin], np.lexsort((share, text))
-        out[at] = np.where(count[at] > 1, share[order][begin + count[at] // 2], 1.0)
+        n = count[at]
+        out[at] = np.where(n > 1, share[order][begin + np.where(n > 2, (n - 1) // 2, n // 2)], 1.0)
     return out
 
 
