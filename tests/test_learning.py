@@ -146,6 +146,38 @@ def test_boosting_equals_a_plain_loop(labelled, block_rows, monkeypatch):
     np.testing.assert_allclose(scored, model.probability(x))
 
 
+def test_steps_sum_only_the_smaller_children(labelled):
+    _, x, y, w = labelled
+    edges = [np.unique(c)[:-1][:100] for c in x.T] + [np.array([0.0])] * 2
+    marks = np.random.default_rng(1).integers(0, 2, (len(y), 2))
+    bins = np.hstack([np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T)], axis=1), marks]).astype(np.uint8)
+    block, met = [(bins, y.astype(float), w, np.zeros(len(y)))], []
+
+    def total(*asked):
+        out = bo.histograms(block[0], *asked)
+        met.append(out[2, :, :len(edges[0]) + 1].sum())  # rows met in a step
+        plain = np.zeros_like(out)
+        tree, slot, slots, widths = asked
+        at, begins = slot[tree.leaf(bins, tree.bin)], np.cumsum([0, *widths])
+        p = 1 / (1 + np.exp(-block[0][3]))
+        for row in np.flatnonzero(at >= 0):
+            for j in range(bins.shape[1]):
+                plain[:, at[row], begins[j] + bins[row, j]] += w[row] * (p[row] - y[row]), w[row] * p[row] * (1 - p[row]), 1
+        np.testing.assert_allclose(out, plain, atol=1e-9)
+        return out
+
+    trees = bo.boost(total, lambda t: block.__setitem__(0, bo.added(block[0], t)), edges, 2, 7, 0.3, 20, 1.0)
+    roots = [i for i, rows in enumerate(met) if rows == len(y)]
+    assert len(trees) == len(roots) == 2 and all(rows <= len(y) / 2 for i, rows in enumerate(met) if i not in roots)
+
+
+def test_a_hundred_thousand_rows_are_one_block(spark):
+    """Steps over blocks are jobs, thousands of them; so a task takes what it does sooner alone."""
+    rows = spark.range(130_000).selectExpr("id AS bill_id", "array(CAST(id % 7 AS DOUBLE)) AS x", "CAST(id % 2 AS INT) AS y", "1.0D AS weight")
+    blocks, n = bo._stored(rows, F.col("x"), "y", "weight", [np.arange(6.0)], "bill_id")
+    assert n == 130_000 and blocks.getNumPartitions() == 1
+
+
 def test_bins_are_exact_quantiles(labelled):
     df, x, _, _ = labelled
     edges = bo.column_edges(df, F.col("x"), 4, 10)
