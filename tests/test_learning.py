@@ -391,6 +391,16 @@ def test_only_terms_of_the_fitting_texts_have_weights(texts):
     assert len(exported) == 2 * vectors.size and (exported.weight != 0).sum() <= 2 * len(weights)
 
 
+def test_texts_of_a_fit_never_reach_the_driver(texts, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    vectors, rows, whole = tl.TextVectors(texts, "id", "text", 1), [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: pytest.fail("rows are collected"))
+    monkeypatch.setattr(DataFrame, "collect", lambda self: rows.append(len(out := whole(self))) or out)
+    models = tl.fit_classifiers(vectors.train, vectors.size, "c", ["agua", "cobro"], [0.5, 1.0], 20)
+    assert len(models) == 2 and sum(rows) <= 4
+
+
 def test_linear_fit_holds_no_copies_of_the_weights():
     rng = np.random.default_rng(5)
     n, classes, size = 30, 4, 100_000
