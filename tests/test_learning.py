@@ -1,6 +1,7 @@
 """Models, segmentation and trained text models against NumPy or their own rules."""
 
 import math
+import time
 import tracemalloc
 
 import numpy as np
@@ -146,6 +147,21 @@ def test_boosting_equals_a_plain_loop(labelled, block_rows, monkeypatch):
     np.testing.assert_allclose(scored, model.probability(x))
 
 
+def test_a_block_of_the_network_has_bounded_rows(spark, labelled, monkeypatch):
+    df, x, _, _ = labelled
+    monkeypatch.setattr(nw, "MOST_ROWS", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 40)
+    try:
+        blocks, n = nw._blocks(df, F.col("x"), "y", "bill_id", 4)
+        found = blocks.collect()
+        _, history = nw.train(df, df, F.col("x"), 4, epochs=3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert n == 2_000 and max(len(y) for _, _, y in found) <= 140 and len({number for number, _, _ in found}) == len(found)
+    np.testing.assert_array_equal(np.concatenate([b for _, b, _ in found]), x)
+    assert len(history) == 3 and history[-1][2] < history[0][2]
+
+
 def test_steps_sum_only_the_smaller_children(labelled):
     _, x, y, w = labelled
     edges = [np.unique(c)[:-1][:100] for c in x.T] + [np.array([0.0])] * 2
@@ -282,6 +298,28 @@ def test_euclidean_silhouette_equals_all_pairs(spark, spread, monkeypatch):
     assert abs(sg.euclidean_silhouette(df, "id", "x", "s").first().silhouette - want) < 1e-9
 
 
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1e-4, 50.0), (0.0, 3.0)])
+def test_distance_sums_equal_differences_in_less_time(scale, shift):
+    rng = np.random.default_rng(2)
+    m = np.vstack([rng.normal(size=(1_500, 7)) * scale + shift, np.full((40, 7), shift)])
+    a = np.vstack([m[:700], m[-40:], rng.normal(size=(60, 7)) * scale + shift])
+
+    def plain():
+        total = np.zeros((len(a), len(m)))
+        for j in range(7):
+            total += (a[:, j, None] - m[None, :, j]) ** 2
+        return np.sqrt(total).sum(axis=1)
+
+    def seconds(f):
+        begun = time.perf_counter()
+        f()
+        return time.perf_counter() - begun
+
+    np.testing.assert_allclose(sg.distance_sums(a, m), plain(), rtol=1e-9, atol=1e-9)
+    if scale == 1:
+        assert min(seconds(lambda: sg.distance_sums(a, m)) for _ in range(5)) < 0.6 * min(seconds(plain) for _ in range(5))
+
+
 def test_kmeans_ends_in_a_fixed_point_and_finds_the_number(spark):
     rng = np.random.default_rng(12)
     corners = np.array([[0, 0], [9, 0], [0, 9]])
