@@ -53,3 +53,45 @@ def test_entries_are_not_shuffled(spark):
     df = spark.createDataFrame([(i, f"palabra{i % 7} otra{i % 3} mas{i}") for i in range(40)], "id bigint, text string")
     plan = tm.tfidf(df, "id", "text")._jdf.queryExecution().executedPlan().toString()
     assert set(re.findall(r"hashpartitioning\((\w+?)#", plan)) == {"block", "bucket"} and "Generate" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_keep_their_columns_and_one_of_a_key_is_first(spark):
+    df = spark.createDataFrame([(k, t, f, f"c{i}") for i, (k, t, f) in enumerate(ROWS)], "id bigint, text string, fitted boolean, c string")
+    found = tb.tfidf_blocks(df, "id", "text", 1, F.col("fitted"), keep=["c"]).collect()
+    want = plain(1)
+    assert sorted(r.c for r in found) == sorted(f"c{i}" for i in range(len(ROWS)))
+    for r in found:
+        assert dict(zip(r.terms, r.weights)) == pytest.approx({} if r.id is None else want.get((r.id, r.fitted), {}))
+    assert len({(r.id, r.fitted) for r in found}) == sum(r.first for r in found)
+
+
+def test_a_split_shuffles_no_texts_and_takes_the_first_of_each_class(spark):
+    rows = [(f"texto {i}", "ab"[i % 5 == 0]) for i in range(90)] + [(None, "a"), ("sin clase", None), ("solo", "c")]
+    df = spark.createDataFrame(rows, "text string, c string")
+    parts = tm.split_by_text(df, "text", "c")
+    assert "Exchange hashpartitioning" not in plan_of(parts) and "SortMergeJoin" not in plan_of(parts)
+    hashes = df.select("text", "c", tm.text_hash(F.col("text")).alias("h")).where("h IS NOT NULL AND c IS NOT NULL").collect()
+    want = {}
+    for c in "abc":
+        mine = sorted((r.h, r.text) for r in hashes if r.c == c)
+        want |= {t: i < max(1, math.floor(len(mine) * 0.25 + 0.5)) for i, (_, t) in enumerate(mine)}
+    assert {r.text: r.is_test for r in parts.collect()} == want
+
+
+def test_vectors_are_scored_as_their_texts(spark):
+    rows = [(i, f"agua fuga{i % 3} calle" if i % 2 else f"pago recibo{i % 4} fuga{i % 3}", "xy"[i % 2], i % 4 != 3) for i in range(40)]
+    rows += [(50, "nada nuevo", "x", False), (50, "agua pago", "x", False), (51, "", "y", False)]
+    df = spark.createDataFrame(rows, "id bigint, text string, c string, fitted boolean")
+    train, test = df.where("fitted"), df.where("NOT fitted")
+    counts, idf = tm.counted(train, "id", "text", 1)
+    old = tm.centroid_model(tm.weigh(counts, idf, "id"), train, "id", "c")
+    want = sorted(tm.score_with_model(test, "id", "text", idf, old["weights"], old["intercepts"], "c", 1).collect(), key=str)
+    vectors = tb.tfidf_blocks(df, "id", "text", 1, F.col("fitted"), hashed=True, keep=["c"])
+    model = tm.centroid_model(vectors.where("fitted"), train, "id", "c")
+    got = sorted(tm.score_vectors(test, "id", vectors.where("NOT fitted AND first"), model["weights"], model["intercepts"], "c").collect(), key=str)
+    assert [(r.id, r.c, r.known, pytest.approx(r.probability)) for r in got] == [(r.id, r.c, r.known, r.probability) for r in want]
+    assert "hashpartitioning(id" not in plan_of(vectors)
