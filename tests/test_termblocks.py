@@ -95,3 +95,10 @@ def test_vectors_are_scored_as_their_texts(spark):
     got = sorted(tm.score_vectors(test, "id", vectors.where("NOT fitted AND first"), model["weights"], model["intercepts"], "c").collect(), key=str)
     assert [(r.id, r.c, r.known, pytest.approx(r.probability)) for r in got] == [(r.id, r.c, r.known, r.probability) for r in want]
     assert "hashpartitioning(id" not in plan_of(vectors)
+
+
+def test_chunk_sizes_are_taken_once(spark):
+    from rivulet.plans.texts import chunk_size_distribution
+
+    out = chunk_size_distribution(spark, "/root/testdata/sf0.001")
+    assert "documents.parquet" not in plan_of(out) and "part.parquet" not in plan_of(out)
