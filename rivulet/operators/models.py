@@ -217,13 +217,15 @@ def choose_by_cv(train: DataFrame, fits: dict[str, Fit], folds: int = 5, vote: s
 
 def permutation_importance(test: DataFrame, score: Scorer, columns: list[str], key: str = "bill_id", repeats: int = 5,
                            rows_per_bucket: int = 100_000) -> DataFrame:
-    """Drop of average precision when a column takes another row's value; all variants are scored in one pass.
+    """Drop of average precision when a column takes another row's value; all variants are scored in one pass
+    and ranked as arrays, range of scores by range (``metrics.average_precisions``).
 
     Rows fall into random buckets and random order by a hash of key and repeat; a column takes
     the value of the next row there, which permutes it without sorting the table in one task.
     """
     test = materialize(test)
-    buckets = max(1, math.ceil(test.count() / rows_per_bucket))
+    n = test.count()
+    buckets = max(1, math.ceil(n / rows_per_bucket))
     whole = F.struct(*columns)
     rows = test
     for r in range(repeats):
@@ -231,15 +233,19 @@ def permutation_importance(test: DataFrame, score: Scorer, columns: list[str], k
         w = Window.partitionBy(F.pmod(F.xxhash64(F.col(key), F.lit(-1 - r)), F.lit(buckets))).orderBy(order)
         first = F.first(whole).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         rows = rows.withColumn(f"_next{r}", F.coalesce(F.lead(whole).over(w), first))
-    variants = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat"),
+    variants = F.array(*[F.struct(F.lit(i * repeats + r).alias("_variant"), F.lit(c).alias("column"), F.lit(r).alias("repeat"),
                                   F.struct(*[(F.col(f"_next{r}")[c] if c == k else F.col(k)).alias(k) for k in columns]).alias("_x"))
-                         for c in columns for r in range(repeats)])
+                         for i, c in enumerate(columns) for r in range(repeats)])
     others = [c for c in test.columns if c not in columns]
-    long = rows.select(*others, F.inline(variants)).select(*others, "column", "repeat", "_x.*")
-    base = mt.ranking_metrics(score(test, "p").select("y", "p"), "y", "p").first()["average_precision"]
-    each = mt.ranking_metrics(score(long, "p").select("y", "p", "column", "repeat"), "y", "p", ["column", "repeat"])
+    long = rows.select(*others, F.inline(variants)).select(*others, "_variant", "column", "repeat", "_x.*")
+    scored = materialize(score(test, "p").select("y", "p"))
+    base = mt.ranking_metrics(scored, "y", "p").first()["average_precision"]
+    many = len(columns) * repeats
+    edges = mt.score_ranges(scored, "p", math.ceil(n * many / mt.SORTED_ROWS))
+    each = mt.average_precisions(score(long, "p").select("y", "p", "_variant"), "y", "p", "_variant", many, edges)
     drop = F.lit(base) - F.col("average_precision")
-    return each.groupBy("column").agg(F.avg(drop).alias("importance"), F.stddev_pop(drop).alias("spread"))
+    column = F.element_at(F.array(*map(F.lit, columns)), (F.floor(F.col("_variant") / repeats) + 1).cast("int"))
+    return each.groupBy(column.alias("column")).agg(F.avg(drop).alias("importance"), F.stddev_pop(drop).alias("spread"))
 
 
 def batch_predict(rows: DataFrame, score: Scorer, threshold: float, name: str, version: str = "v1") -> DataFrame:
