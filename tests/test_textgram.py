@@ -68,3 +68,16 @@ def test_texts_are_scored_where_they_lie_as_from_the_tables(spark):
     want = sorted(tm.score_with_model(test, "id", "text", idf, model["weights"], model["intercepts"], "c", 1).collect(), key=str)
     got = sorted(tm.score_texts(df, "id", "text", F.col("fitted"), "c").collect(), key=str)
     assert [(r.id, r.c, r.known, pytest.approx(r.probability)) for r in got] == [(r.id, r.c, r.known, r.probability) for r in want]
+
+
+def test_entries_are_packed_by_the_task_that_weighs_them(spark):
+    """Vectors went from Python to the JVM and back before they were packed."""
+    df = spark.createDataFrame([(i, f"agua fuga{i % 3}", "xy"[i % 2], i % 4 != 3) for i in range(12)], "id bigint, text string, c string, fitted boolean")
+    pack = lambda rows, block: tg._packed(rows.rename_columns(["label" if c == "c" else c for c in rows.column_names]), block, False)
+    packed = tg.tfidf_blocks(df, "id", "text", 1, F.col("fitted"), hashed=True, keep=["c"], packed=(pack, tg._schema("bigint", "string")))
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "MapInArrow" not in plan.replace("FlatMapCoGroupsInArrow", "").replace("FlatMapGroupsInArrow", "")
+    got = sorted((k, l, f) for r in packed.collect() for k, l, f in zip(r["keys"], r["labels"], r["fitted"]))
+    assert got == sorted((r.id, r.c, r.fitted) for r in df.collect())
+    gram = tg.TextGram.of_texts(df, "id", "text", F.col("fitted"), "c")
+    assert gram.n == 12 and gram.fitted == 9 and gram.size == 4
