@@ -429,6 +429,30 @@ def test_only_terms_of_the_fitting_texts_have_weights(texts):
     assert len(exported) == 2 * vectors.size and (exported.weight != 0).sum() <= 2 * len(weights)
 
 
+def test_a_fit_reads_every_text(spark):
+    """20,000 of them at most were fitted."""
+    n = 20_500
+    rows = spark.range(n).select("id", F.array(F.col("id").cast("int")).alias("terms"), F.array(F.lit(1.0)).alias("weights"),
+                                 F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("c"))
+    model = tl.fit_classifiers(rows, n, "c", ["a", "b"], [1.0], 2)[1.0]
+    weights = {r["index"]: r["w"] for r in model.weights.collect()}
+    assert set(weights) == set(range(n)) and all((w[0] > w[1]) == (i % 3 == 0) for i, w in weights.items())
+
+
+def test_a_fit_in_blocks_is_that_of_one_task(spark, texts, monkeypatch):
+    vectors, classes = tl.TextVectors(texts, "id", "text", 1), ["agua", "cobro"]
+    odd = spark.createDataFrame([(900, "agua", [], []), (901, "cobro", [], [])], "id bigint, c string, terms array<int>, weights array<double>")
+    rows = vectors.train.unionByName(odd).unionByName(vectors.train.where("id < 5"))  # empty texts and repeated keys
+    one = tl.fit_classifiers(rows, vectors.size, "c", classes, [0.02, 0.1], 100)
+    monkeypatch.setattr(tl, "FIT_ENTRIES", 0)
+    many = tl.fit_classifiers(rows, vectors.size, "c", classes, [0.02, 0.1], 100)
+    for c in one:
+        a, b = ({r["index"]: r["w"] for r in m[c].weights.collect()} for m in (one, many))
+        assert set(a) == set(b) == set(range(vectors.size))
+        np.testing.assert_allclose([b[i] for i in sorted(a)], [a[i] for i in sorted(a)], atol=2e-3)
+        np.testing.assert_allclose(many[c].intercepts, one[c].intercepts, atol=2e-3)
+
+
 def test_texts_of_a_fit_never_reach_the_driver(texts, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
 

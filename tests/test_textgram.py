@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rivulet.operators import textgram as tg
 from rivulet.operators import textlearn as tl
 from rivulet.operators import textmodel as tm
+from rivulet.session import discard, materialize
 
 
 def test_products_are_those_of_the_matrix_for_any_cut_of_the_columns(spark, monkeypatch):
@@ -81,3 +82,17 @@ def test_entries_are_packed_by_the_task_that_weighs_them(spark):
     assert got == sorted((r.id, r.c, r.fitted) for r in df.collect())
     gram = tg.TextGram.of_texts(df, "id", "text", F.col("fitted"), "c")
     assert gram.n == 12 and gram.fitted == 9 and gram.size == 4
+
+
+def test_numbers_of_terms_come_back_from_their_mix():
+    x = np.concatenate([np.arange(1000), np.random.default_rng(0).integers(-2**63, 2**63 - 1, 1000)])
+    np.testing.assert_array_equal(tg.unmixed(tg._mix(x)), x)
+
+
+def test_only_tables_of_the_shared_folder_are_removed(spark, tmp_path):
+    kept = str(tmp_path / "kept")
+    spark.range(3).write.parquet(kept)
+    mine = materialize(spark.range(3))
+    folder = mine.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].replace("///", "/")
+    discard(mine, spark.read.parquet(kept))
+    assert not os.path.exists(folder) and spark.read.parquet(kept).count() == 3
