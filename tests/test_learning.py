@@ -1,6 +1,7 @@
 """Models, segmentation and trained text models against NumPy or their own rules."""
 
 import math
+import os
 import time
 import tracemalloc
 
@@ -298,6 +299,27 @@ def test_euclidean_silhouette_equals_all_pairs(spark, spread, monkeypatch):
     assert abs(sg.euclidean_silhouette(df, "id", "x", "s").first().silhouette - want) < 1e-9
 
 
+def test_euclidean_silhouette_sends_members_in_chunks_and_leaves_no_tables(spark, monkeypatch):
+    """Blocks of rows were shuffled once per pair of blocks, which filled the disk."""
+    rng = np.random.default_rng(21)
+    x, label = rng.normal(size=(90, 3)), rng.integers(0, 3, 90)
+    df = spark.createDataFrame([(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, label))], "id bigint, x array<double>, s int")
+    folder = spark.sparkContext.getCheckpointDir() or sg.materialize(df).sparkSession.sparkContext.getCheckpointDir()
+    tables = lambda: set(os.listdir(folder.removeprefix("file:")))
+    before, sent, broadcast = tables(), [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(sg, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(sg, "CHUNK_NUMBERS", 60)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or broadcast(self, value))
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(2))
+    sums = np.stack([d[:, label == c].sum(1) for c in range(3)], axis=1)
+    n = np.bincount(label)
+    a = sums[np.arange(90), label] / (n[label] - 1)
+    b = np.where(np.arange(3) == label[:, None], np.inf, sums / n).min(1)
+    assert abs(sg.euclidean_silhouette(df, "id", "x", "s").first().silhouette - ((b - a) / np.maximum(a, b)).mean()) < 1e-9
+    assert len(sent) == 5 and sum(len(m) for chunk in sent for blocks in chunk.values() for m in blocks) == 90
+    assert len(tables() - before) <= 1
+
+
 @pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1e-4, 50.0), (0.0, 3.0)])
 def test_distance_sums_equal_differences_in_less_time(scale, shift):
     rng = np.random.default_rng(2)
