@@ -163,6 +163,32 @@ def test_a_block_of_the_network_has_bounded_rows(spark, labelled, monkeypatch):
     assert len(history) == 3 and history[-1][2] < history[0][2]
 
 
+def test_pieces_of_the_network_are_small(spark, labelled):
+    """A reader's batch holds 4,096 pieces, which were up to 10,000 rows each."""
+    df, x, _, _ = labelled
+    kept = []
+    blocks, n = nw._blocks(df, F.col("x"), "y", "bill_id", 4, kept)
+    pieces = kept[0].collect()
+    kept[0].unpersist()
+    assert max(len(y) for _, y in pieces) <= 64 and sum(len(y) for _, y in pieces) == n == 2_000
+    np.testing.assert_array_equal(np.concatenate([b for _, b, _ in blocks.collect()]), x)
+
+
+def test_a_block_of_the_network_is_held_once():
+    """The pieces, their joined bytes and the pickled block were held together, four times the block."""
+    width, rows = 20, nw.MOST_ROWS // 16
+    pieces = ((np.full(rows * width, float(i)), np.full(rows, float(i))) for i in range(33))
+    sizes = []
+    tracemalloc.start()
+    for number, x, y in nw._joined(3, pieces, width):
+        sizes.append((number, len(y)))
+        assert (x == y[:, None]).all(axis=1).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [(3, nw.MOST_ROWS), (3 + (1 << 20), nw.MOST_ROWS), (3 + (2 << 20), rows)]
+    assert peak < 2.6 * 8 * width * nw.MOST_ROWS  # two while the next one begins, and pieces
+
+
 def test_steps_sum_only_the_smaller_children(labelled):
     _, x, y, w = labelled
     edges = [np.unique(c)[:-1][:100] for c in x.T] + [np.array([0.0])] * 2
