@@ -96,3 +96,14 @@ def test_only_tables_of_the_shared_folder_are_removed(spark, tmp_path):
     folder = mine.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].replace("///", "/")
     discard(mine, spark.read.parquet(kept))
     assert not os.path.exists(folder) and spark.read.parquet(kept).count() == 3
+
+
+def test_latent_vectors_leave_one_table(spark):
+    """The numbers of every step stayed on the disk."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [int(t) for t in rng.integers(0, 40, 6)], [1.0] * 6, i % 4 > 0) for i in range(60)],
+                               "id bigint, terms array<int>, weights array<double>, fitted boolean")
+    folder = materialize(df).sparkSession.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    out, _, _ = tl.latent_vectors(df, "id", "fitted", 3, components=5)
+    assert len(set(os.listdir(folder)) - before) == 1 and out.count() == 60
